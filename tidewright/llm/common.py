@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,7 +87,7 @@ def text_batches(spark: SparkSession) -> None:
 def cut(table: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``limit`` bytes of the string column, one row at least."""
     size, start, total = table.num_rows, 0, 0
-    lengths = pa.compute.fill_null(pa.compute.binary_length(table.column(column)), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(table.column(column)), 0).to_pylist()
     for i, n in enumerate(lengths):
         if i > start and total + n > limit:
             yield table.slice(start, i - start)

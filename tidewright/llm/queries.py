@@ -20,6 +20,12 @@ def tokenizer_spec(name: str = TOKENIZER) -> str:
         return f.read()
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_groups
+
+    return near_groups(read(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_decode
 
@@ -40,6 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_simhash": op2_simhash,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op10_packing": op10_packing,
