@@ -26,6 +26,13 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(read(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, identify
+
+    docs = read(spark, sf_dir, "documents")
+    return identify(docs, fit(docs))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import encode_decode
 
@@ -47,6 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash": op2_simhash,
+        "op3_langid": op3_langid,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op10_packing": op10_packing,
