@@ -45,6 +45,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(read(spark, sf_dir, "documents"), tokenizer_spec(), VOCABULARY, END_ID).df)
 
 
+def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .perplexity import quality
+
+    return quality(read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -57,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_langid": op3_langid,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
+        "op7_perplexity": op7_perplexity,
         "op10_packing": op10_packing,
     }
 

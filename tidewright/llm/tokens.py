@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries that a worker keeps of encoded chunks and pieces; a full memo is emptied, which costs time only.
-MEMO = 1_000_000
+MEMO = 400_000
 #: Chunks of these characters are lower-cased and pre-split here; for them NFC changes nothing.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
