@@ -20,6 +20,12 @@ def tokenizer_spec(name: str = TOKENIZER) -> str:
         return f.read()
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edited_versions
+
+    return edited_versions(read(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_groups
 
@@ -59,6 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprint": op1_fingerprint,
         "op2_simhash": op2_simhash,
         "op3_langid": op3_langid,
         "op4_bpe": op4_bpe,
