@@ -100,7 +100,7 @@ def cut(table: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa
 def block_count(docs: DataFrame) -> int:
     """Blocks for a table: by its estimated bytes, and no fewer than the shuffle partitions."""
     spark = docs.sparkSession
-    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(math.ceil(size / BLOCK_BYTES), 1 << 20)) if size < 1 << 60 else least
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 
@@ -57,6 +58,13 @@ def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import dedup_windows
+
+    out = dedup_windows(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -71,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op7_perplexity": op7_perplexity,
+        "op8_substrings": op8_substrings,
         "op10_packing": op10_packing,
     }
 
