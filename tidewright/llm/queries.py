@@ -46,6 +46,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read(spark, sf_dir, "documents"), tokenizer_spec())
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import dedup_bytes
+
+    out = dedup_bytes(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import read_token_files, write_token_files
 
@@ -77,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_simhash": op2_simhash,
         "op3_langid": op3_langid,
         "op4_bpe": op4_bpe,
+        "op5_suffixes": op5_suffixes,
         "op6_token_files": op6_token_files,
         "op7_perplexity": op7_perplexity,
         "op8_substrings": op8_substrings,
