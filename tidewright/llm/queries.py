@@ -72,6 +72,12 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract
+
+    return extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_token_files": op6_token_files,
         "op7_perplexity": op7_perplexity,
         "op8_substrings": op8_substrings,
+        "op9_html": op9_html,
         "op10_packing": op10_packing,
     }
 
