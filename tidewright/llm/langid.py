@@ -207,3 +207,18 @@ def identify(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return arrow_map(columns(docs, "doc_id", "text").withColumn("held_out", held_out()), run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float) -> DataFrame:
+    """The documents, all columns, whose language is known with a score of ``least`` or more; without a model, all of them."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in cut(whole, "text"):
+                got = shared.value.predict(b.column("text").to_pylist())
+                yield b.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in got], pa.bool_()))
+
+    return arrow_map(docs, run, docs.schema)

@@ -7,19 +7,21 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, block_of, columns
+from .common import NULL_ID, block_of
 
 #: Columns of a mixed pass: small rows (kind, a, b, data) come before the documents (kind 9) of their block.
 MIXED = ["block", "kind", "a", "b", "data", "doc_id", "text"]
 DOC = 9
 
 
-def texts_of(docs: DataFrame, n: int) -> DataFrame:
-    """The documents as rows of a mixed pass."""
-    return columns(docs, "doc_id", "text").select(block_of(n).alias("block"), F.lit(DOC).alias("kind"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(None).cast("binary").alias("data"), "doc_id", "text")
+def texts_of(docs: DataFrame, n: int, carry: Column | None = None) -> DataFrame:
+    """The documents as rows of a mixed pass; ``carry``, a binary expression of their columns, goes along as data."""
+    data = F.lit(None).cast("binary") if carry is None else carry
+    rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").cast("string").alias("text"), data.alias("data"))
+    return rows.select(block_of(n).alias("block"), F.lit(DOC).alias("kind"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "data", "doc_id", "text")
 
 
 def small_rows(df: DataFrame, kind: int) -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from .common import Staged, arrow_map, block_count, by_block
 from .passes import DOC, doc_key, groups, mixed_order, pack_sorted, runs, small_rows, texts_of, unpack_sorted
@@ -355,8 +355,8 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
     return small_rows(found.df.where("a > 0").unionByName(answers.df), 0), n
 
 
-def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """Per document doc_id, n_bytes, spans (byte ranges removed: start, end), n_removed, and kept (remaining bytes).
+def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: Column | None = None) -> DataFrame:
+    """Per document doc_id, n_bytes, spans (byte ranges removed: start, end), n_removed, kept (remaining bytes), and what ``carry`` gave.
 
     A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller doc_id; overlaps count, and
     strings are judged on the input. Rows with equal doc_ids do not remove each other's bytes; a null doc_id counts as smaller than
@@ -372,7 +372,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot
             strings, bits = np.zeros(0, np.int64), []
             gone: dict[int, np.ndarray] | None = None
             place, size = 0, 0
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for r in rows:
                 if r[1] != DOC:
                     if r[2] in (1, 2):
@@ -406,20 +406,20 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot
                     covered = np.cumsum(cover[:-1]) > 0
                     spans = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(covered)))]
                     kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
-                for column, value in zip(out, (r[5], len(data), spans, len(data) - len(kept), kept)):
+                for column, value in zip(out, (r[5], len(data), spans, len(data) - len(kept), kept, r[4])):
                     column.append(value)
                 size += len(data)
                 if size > 4 << 20:
                     yield _kept(out)
-                    out, size = [[], [], [], [], []], 0
+                    out, size = [[], [], [], [], [], []], 0
             if out[0]:
                 yield _kept(out)
 
-    schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, n_removed long, kept binary"
-    return arrow_map(by_block([texts_of(docs, n), small], n, mixed_order()), remove, schema)
+    schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, n_removed long, kept binary, carry binary"
+    return arrow_map(by_block([texts_of(docs, n, carry), small], n, mixed_order()), remove, schema)
 
 
 def _kept(out: list[list]) -> pa.RecordBatch:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kinds = (pa.int64(), pa.int64(), span, pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "n_bytes", "spans", "n_removed", "kept"])
+    kinds = (pa.int64(), pa.int64(), span, pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "n_bytes", "spans", "n_removed", "kept", "carry"])
