@@ -56,6 +56,22 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, {b"1": "<u1", b"2": "<u2", b"4": "<u4", b"8": "<i8"}[data[:1]], offset=1), dtype=np.int64)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Distinct values in ascending order, by sorting."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
+def ranked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in ascending order, and the place of each value among them."""
+    order = np.argsort(x)
+    y = x[order]
+    new = np.concatenate([[True], y[1:] != y[:-1]]) if len(y) else np.zeros(0, bool)
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return y[new], place
+
+
 def doc_key(doc_id: int | None) -> int:
     return NULL_ID if doc_id is None else doc_id
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from .common import Staged, arrow_map, block_count, by_block
-from .passes import DOC, doc_key, groups, mixed_order, pack_sorted, runs, small_rows, texts_of, unpack_sorted
+from .passes import DOC, doc_key, groups, mixed_order, pack_sorted, ranked, runs, small_rows, texts_of, unpack_sorted
 from .substrings import _BLOB, _blobs, _document_batches
 
 LENGTH, ANCHOR = 50, 20
@@ -167,7 +167,7 @@ def refine(data: np.ndarray, length: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for j in range(depth):
         key = (key << np.uint64(8)) | padded[j : j + n]
-    bucket = np.unique(key, return_inverse=True)[1].astype(np.int64)
+    bucket = ranked(key)[1]
     while depth < length:
         step = min(depth, length - depth)
         later = np.full(n, -1, np.int64)
@@ -175,11 +175,11 @@ def refine(data: np.ndarray, length: int) -> np.ndarray:
         count = np.bincount(bucket)
         active = np.flatnonzero(count[bucket] > 1)  # single buckets stay as they are
         pair = (bucket[active].astype(np.uint64) << np.uint64(32)) | (later[active] + 1).astype(np.uint64)
-        found, inverse = np.unique(pair, return_inverse=True)
+        found, inverse = ranked(pair)
         base = int(bucket.max()) + 1 if n else 0
         bucket = bucket.copy()
         bucket[active] = base + inverse
-        bucket = np.unique(bucket, return_inverse=True)[1].astype(np.int64) if base + len(found) > 1 << 31 else bucket
+        bucket = ranked(bucket)[1] if base + len(found) > 1 << 31 else bucket
         depth += step
     return bucket
 
@@ -245,7 +245,7 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
         for (shard,), rows in groups(batches, 1):
             parts = [(r[2], np.frombuffer(r[3], np.uint8, r[1]), r[3][r[1] :]) for r in rows]
             cells = [unpack_sorted(p[2]) for p in parts]
-            known, inverse = np.unique(np.concatenate(cells), return_inverse=True)
+            _, inverse = ranked(np.concatenate(cells))
             total = np.bincount(inverse, weights=np.concatenate([p[1] for p in parts]))[inverse]
             at = 0
             for (block, count, _), c in zip(parts, cells):
@@ -286,7 +286,7 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
             data = np.concatenate(held.bytes) if held.bytes else np.zeros(0, np.uint8)
             keys = np.array(held.keys, np.int64)[doc]
             cell = _cells(route, bits)
-            known = np.unique(cell)
+            known, own = ranked(cell)
             at = np.searchsorted(known, np.arange(n + 1, dtype=np.int64) * width)
             many, split = np.zeros(len(known), bool), np.zeros(len(known), bool)
             for shard, flags in answers:
@@ -294,7 +294,6 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
                 half = -(-size // 8)
                 many[at[shard] : at[shard + 1]] = np.unpackbits(np.frombuffer(flags[:half], np.uint8), count=size).view(bool)
                 split[at[shard] : at[shard + 1]] = np.unpackbits(np.frombuffer(flags[half:], np.uint8), count=size).view(bool)
-            own = np.searchsorted(known, cell)
             go, apart = many[own], split[own]
             sure: list[np.ndarray] = []
             wait: list[tuple] = []  # document, start, strings, entry's hashes ...
