@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Staged, arrow_map, block_count, by_block
-from .passes import DOC, doc_key, groups, mixed_order, pack_sorted, rolling, rows_of, runs, small_rows, texts_of, unpack_sorted
+from .passes import DOC, distinct, doc_key, groups, mixed_order, pack_sorted, rolling, rows_of, runs, small_rows, texts_of, unpack_sorted
 from .perplexity import _words
 
 #: Words of a window, and cells of a sketch row for each block of documents (twice the windows a block is expected to have).
@@ -105,7 +105,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
                 for k, h in enumerate(held.arrays()[:2]):
                     parts[k].append(_cells(h, bits))
             for k in range(2):
-                cells = np.unique(np.concatenate(parts[k])) if parts[k] else np.zeros(0, np.int64)
+                cells = distinct(np.concatenate(parts[k])) if parts[k] else np.zeros(0, np.int64)
                 at = np.searchsorted(cells, np.arange(n + 1, dtype=np.int64) * width)
                 out = [(s, k, block, pack_sorted(cells[at[s] : at[s + 1]] - s * width)) for s in np.flatnonzero(np.diff(at)).tolist()]
                 for i in range(0, len(out), 64):
@@ -143,11 +143,31 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
             h1, h2, doc, start = held.arrays()
             order = np.argsort(h1, kind="stable")
             a = h1[order]
-            clash = a[1:] == a[:-1]
-            if (clash & (h2[order][1:] != h2[order][:-1])).any():
-                order = np.lexsort((h2, h1))  # stable too
-                a = h1[order]
-            b, doc, start = h2[order], doc[order], start[order]
+
+            def flagged(known: np.ndarray, k: int) -> np.ndarray:
+                """Whether a sketch row has the cells (distinct, ascending) as shared."""
+                at = np.searchsorted(known, np.arange(n + 1, dtype=np.int64) * width)
+                flags = np.zeros(len(known), bool)
+                for shard, data in answers[k]:
+                    size = at[shard + 1] - at[shard]
+                    flags[at[shard] : at[shard + 1]] = np.unpackbits(np.frombuffer(data, np.uint8), count=size).view(bool)
+                return flags
+
+            # most windows are alone in the block and in the first sketch row: the rest is looked at closely
+            alone = np.ones(len(a), bool)
+            same = a[1:] == a[:-1]
+            alone[1:] &= ~same
+            alone[:-1] &= ~same
+            cell = _cells(a, bits)
+            new = np.concatenate([[True], cell[1:] != cell[:-1]]) if len(a) else np.zeros(0, bool)
+            shared0 = flagged(cell[new], 0)[np.cumsum(new) - 1] if len(a) else alone
+            pick = np.flatnonzero(~alone | shared0)
+            order, a, go0 = order[pick], a[pick], shared0[pick]
+            b = h2[order]
+            if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+                again = np.lexsort((np.arange(len(a)), b, a))
+                order, a, b, go0 = order[again], a[again], b[again], go0[again]
+            doc, start = doc[order], start[order]
             new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
             group = np.cumsum(new) - 1
             first = np.flatnonzero(new)
@@ -156,18 +176,13 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
             # within the block: a smaller doc_id has it, or the same row earlier (rows of a group are in order of row and start)
             again = np.concatenate([[False], (doc[1:] == doc[:-1]) & ~new[1:]]) if len(a) else np.zeros(0, bool)
             here = again | (keys > least[group]) if len(a) else np.zeros(0, bool)
-
-            def estimated(k: int, cells: np.ndarray) -> np.ndarray:
-                """Whether the sketch row has the (distinct) cells as shared."""
-                known = np.unique(cells)
-                at = np.searchsorted(known, np.arange(n + 1, dtype=np.int64) * width)
-                flags = np.zeros(len(known), bool)
-                for shard, data in answers[k]:
-                    size = at[shard + 1] - at[shard]
-                    flags[at[shard] : at[shard + 1]] = np.unpackbits(np.frombuffer(data, np.uint8), count=size).view(bool)
-                return flags[np.searchsorted(known, cells)]
-
-            go = estimated(0, _cells(a[first], bits)) & estimated(1, _cells(b[first], bits)) if len(first) else np.zeros(0, bool)
+            known = distinct(_cells(h2, bits))
+            go = go0[first]
+            if go.any():
+                shared1 = known[flagged(known, 1)]
+                cell = _cells(b[first][go], bits)
+                at = np.minimum(np.searchsorted(shared1, cell), max(0, len(shared1) - 1))
+                go[go] = shared1[at] == cell if len(shared1) else False
             e1, e2, e_doc = a[first][go], b[first][go], least[go]
             at = np.searchsorted(((e1 >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32), np.arange(n + 1, dtype=np.uint64))
             for s in np.flatnonzero(np.diff(at)).tolist():
