@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import values
-from .text import capitalize, clean_whitespace, strip, strip_emojis, title
+from .text import capitalize, clean_whitespace, let, strip, strip_emojis, title
 
 
 def _result(value, status: str, reason: str | None = None) -> Column:
@@ -23,25 +23,28 @@ def _absent(c: Column) -> Column:
 
 def email(c: Column, cjk: bool = True) -> Column:
     x = F.regexp_replace(F.lower(strip(strip_emojis(c, cjk))), r"(?U)\s+", "")
-    return F.when(_absent(c), _result(None, "MISSING", "Empty value")).when(x.rlike(r"(?U)" + values.EMAIL), _result(x, "VALID")).otherwise(_result(c, "INVALID", "Invalid format"))
+    judged = let(x, lambda x: F.when(x.rlike(r"(?U)" + values.EMAIL), _result(x, "VALID")).otherwise(_result(c, "INVALID", "Invalid format")))
+    return F.when(_absent(c), _result(None, "MISSING", "Empty value")).otherwise(judged)
 
 
 def phone(c: Column, placeholder: str = values.PLACEHOLDER, cjk: bool = True) -> Column:
-    s = F.regexp_replace(strip(strip_emojis(c, cjk)), "^['\"]+", "")
     marker = r"(?:ext\.?|extension|x)\s*"
-    extension = F.regexp_extract(s, f"(?i){marker}(\\d+)", 1)
-    digits = F.regexp_replace(F.regexp_replace(s, f"(?is){marker}\\d+.*$", ""), r"\D", "")
-    digits = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).otherwise(digits)
-    n = F.length(digits)
-    plain = F.when(n == 10, F.concat_ws("-", F.substring(digits, 1, 3), F.substring(digits, 4, 3), F.substring(digits, 7, 4))).when(n == 7, F.concat_ws("-", F.substring(digits, 1, 3), F.substring(digits, 4, 4)))
-    whole = F.when(extension != "", F.concat(plain, F.lit(" x"), extension)).otherwise(plain)
-    bad = F.struct(F.lit(placeholder).alias("value"), F.lit("INVALID").alias("status"), F.concat(F.lit("Expected 7 or 10 digits, found "), n.cast("string")).alias("reason"))
-    return (
-        F.when(_absent(c), _result(F.lit(placeholder), "MISSING", "Empty value"))
-        .when(n == 0, _result(F.lit(placeholder), "MISSING", "No phone digits found"))
-        .when(plain.isNotNull(), _result(whole, "VALID"))
-        .otherwise(bad)
-    )
+
+    def judged(digits: Column, extension: Column) -> Column:
+        n = F.length(digits)
+        tail = F.when(extension != "", F.concat(F.lit(" x"), extension)).otherwise("")
+        ten = F.concat(F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 3), F.lit("-"), F.substring(digits, 7, 4), tail)
+        seven = F.concat(F.substring(digits, 1, 3), F.lit("-"), F.substring(digits, 4, 4), tail)
+        wrong = F.struct(F.lit(placeholder).alias("value"), F.lit("INVALID").alias("status"), F.concat(F.lit("Expected 7 or 10 digits, found "), n.cast("string")).alias("reason"))
+        return F.when(n == 10, _result(ten, "VALID")).when(n == 7, _result(seven, "VALID")).when(n == 0, _result(F.lit(placeholder), "MISSING", "No phone digits found")).otherwise(wrong)
+
+    def digits_of(s: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(s, f"(?is){marker}\\d+.*$", ""), r"\D", "")
+        local = let(plain, lambda d: F.when((F.length(d) == 11) & d.startswith("1"), F.substring(d, 2, 10)).otherwise(d))
+        return let(F.struct(local.alias("d"), F.regexp_extract(s, f"(?i){marker}(\\d+)", 1).alias("x")), lambda p: judged(p["d"], p["x"]))
+
+    s = F.regexp_replace(strip(strip_emojis(c, cjk)), "^['\"]+", "")
+    return F.when(_absent(c), _result(F.lit(placeholder), "MISSING", "Empty value")).otherwise(let(s, digits_of))
 
 
 def name(c: Column, field: str = "name", greedy: bool = True, cjk: bool = True) -> Column:
@@ -50,14 +53,20 @@ def name(c: Column, field: str = "name", greedy: bool = True, cjk: bool = True)
         x = F.regexp_replace(x, rf"(?iU)\b{h}\.?\s*" if greedy else rf"(?iU)\b{h}(?:\.\s*|\s+|$)", "")
     for h in values.HONORIFICS_SPACE:
         x = F.regexp_replace(x, rf"(?iU)\b{h}\s+", "")
-    aside = F.upper(strip(F.regexp_extract(x, r"\(([^)]+)\)", 1)))
-    titled = reduce(lambda a, t: a | aside.contains(t), values.TITLES_IN_NAMES, F.lit(False))
-    y = title(clean_whitespace(F.regexp_replace(F.regexp_replace(x, '"[^"]*"', ""), r"\([^)]*\)", "")))
-    out = F.when(_absent(c), _result(None, "MISSING", "Empty value")).when(titled, _result(c, "INVALID", "Potential Job Title in Name"))
-    out = out.when(y.rlike(r"(?U)[\d()]"), _result(c, "INVALID", "Contains digits or parentheses"))
-    if field == "last_name":
-        out = out.when(F.length(F.regexp_replace(y, r"\.+$", "")) <= 2, _result(c, "INVALID", "Suspiciously short (possible truncation)"))
-    return out.when(F.length(y) < 2, _result(c, "INVALID", "Too short")).otherwise(_result(y, "VALID"))
+
+    def judged(y: Column) -> Column:
+        out = F.when(y.rlike(r"(?U)[\d()]"), _result(c, "INVALID", "Contains digits or parentheses"))
+        if field == "last_name":
+            out = out.when(F.length(F.regexp_replace(y, r"\.+$", "")) <= 2, _result(c, "INVALID", "Suspiciously short (possible truncation)"))
+        return out.when(F.length(y) < 2, _result(c, "INVALID", "Too short")).otherwise(_result(y, "VALID"))
+
+    def body(x: Column) -> Column:
+        aside = F.upper(F.regexp_extract(x, r"\(([^)]+)\)", 1))
+        titled = aside.rlike("|".join(values.TITLES_IN_NAMES))
+        y = title(clean_whitespace(F.regexp_replace(F.regexp_replace(x, '"[^"]*"', ""), r"\([^)]*\)", "")))
+        return F.when(titled, _result(c, "INVALID", "Potential Job Title in Name")).otherwise(let(y, judged))
+
+    return F.when(_absent(c), _result(None, "MISSING", "Empty value")).otherwise(let(x, body))
 
 
 def job_title(c: Column, cjk: bool = True) -> Column:
@@ -75,13 +84,13 @@ def company(c: Column) -> Column:
 
 def currency(c: Column, thousands_cut: bool = True) -> Column:
     """A number of dollars or the like as double, scaled by K, M or B; null where there is none. ``thousands_cut``: stop at a comma."""
-    s = F.upper(strip(c))
-    s = F.when(s.startswith("'") & (F.length(s) > 1), F.substring(s, 2, 2**31 - 1)).otherwise(s)
-    if not thousands_cut:
-        s = F.regexp_replace(s, r"(?<=\d),(?=\d{3})", "")
-    amount = F.regexp_extract(s, r"(-?\d+(?:\.\d+)?)", 1).try_cast("double")
-    scale = F.when(s.contains("K"), 1e3).when(s.contains("M"), 1e6).when(s.contains("B"), 1e9).otherwise(1.0)
-    return F.when(_absent(c), F.lit(None).cast("double")).otherwise(amount * scale)
+
+    def body(s: Column) -> Column:
+        text = s if thousands_cut else F.regexp_replace(s, r"(?<=\d),(?=\d{3})", "")
+        amount = F.regexp_extract(text, r"(-?\d+(?:\.\d+)?)", 1).try_cast("double")
+        return amount * F.when(s.contains("K"), 1e3).when(s.contains("M"), 1e6).when(s.contains("B"), 1e9).otherwise(1.0)
+
+    return F.when(_absent(c), F.lit(None).cast("double")).otherwise(let(F.upper(strip(c)), body))
 
 
 #: Date forms that are parsed natively: (pattern that the text must match, format).

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from .. import values
 _REST = 2**31 - 1
 
 
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """body(c) with c evaluated once, however often the body names it; keeps expressions linear in size."""
+    return F.element_at(F.transform(F.array(c), body), 1)
+
+
 def strip(c: Column) -> Column:
     """Without white space (of any script) at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -40,8 +47,7 @@ def title(c: Column) -> Column:
 
 def unquote(c: Column) -> Column:
     """Stripped text without the quote that neutralises formulas, if something follows it."""
-    s = strip(c)
-    return F.when(s.startswith("'") & (F.length(s) > 1), strip(F.substring(s, 2, _REST))).otherwise(s)
+    return let(strip(c), lambda s: F.when(s.startswith("'") & (F.length(s) > 1), strip(F.substring(s, 2, _REST))).otherwise(s))
 
 
 def fingerprint(c: Column) -> Column:

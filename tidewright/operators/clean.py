@@ -9,7 +9,7 @@ from .. import values
 from ..config import Config
 from ..functions import normalize as N
 from ..functions.missing import is_missing, sanitize
-from ..functions.text import row_uuid
+from ..functions.text import let, row_uuid
 
 LINE = "_line_number"
 
@@ -17,8 +17,8 @@ LINE = "_line_number"
 def normalizer(kind: str, c: Column, name: str, cfg: Config) -> Column:
     """struct(value, status, reason) of a typed column; values of currency are doubles."""
     if kind == "currency":
-        v = N.currency(c, cfg.thousands_cut)
-        return F.struct(v.alias("value"), F.when(v.isNull(), "ERROR").otherwise("VALID").alias("status"), F.when(v.isNull(), "Currency parse failed").alias("reason"))
+        judged = lambda v: F.struct(v.alias("value"), F.when(v.isNull(), "ERROR").otherwise("VALID").alias("status"), F.when(v.isNull(), "Currency parse failed").alias("reason"))
+        return let(N.currency(c, cfg.thousands_cut), judged)
     made = {
         "email": lambda: N.email(c, cfg.strip_cjk),
         "phone": lambda: N.phone(c, cfg.placeholder, cfg.strip_cjk),
@@ -67,7 +67,7 @@ def clean(df: DataFrame, types: dict[str, str], cfg: Config = Config()) -> DataF
         F.lit(cfg.run_id).alias("run_id"),
         line.alias(LINE),
         F.struct(*(col(c).alias(c) for c in names)).alias("raw"),
-        F.struct(*(e.alias(n) for n, e in fields.items())).alias("clean"),
+        let(F.struct(*(e.alias(n) for n, e in fields.items())), lambda x: x).alias("clean"),
         F.struct(*(results[c]["status"].alias(c) for c in results), F.lit(True).alias("__")).alias("details"),
     )
 

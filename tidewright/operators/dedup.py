@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import values
 from ..config import Config
-from ..functions.text import strip
+from ..functions.text import let, strip
 from .clean import LINE, fields_of
 
 _LABELS = {"email_only": "email", "phone_only": "phone"}
@@ -25,7 +25,7 @@ def _value(df: DataFrame, field: str, cfg: Config) -> Column | None:
         parts.append(F.nullif(c, F.lit("")) if cfg.placeholder_in_key else F.when(c.isin("", cfg.placeholder), None).otherwise(c))
     if field in fields_of(df, "raw"):
         parts.append(F.nullif(F.col("raw")[field].cast("string"), F.lit("")))
-    return F.nullif(F.lower(strip(F.coalesce(*parts))), F.lit("")) if parts else None
+    return let(F.lower(strip(F.coalesce(*parts))), lambda v: F.when(v != "", v)) if parts else None
 
 
 def key(df: DataFrame, cfg: Config) -> Column:
@@ -41,7 +41,7 @@ def key(df: DataFrame, cfg: Config) -> Column:
         names = sorted(cfg.dedup_fields)
     found = [(n, _value(df, n, cfg)) for n in names]
     parts = [F.concat(F.lit(f"{n}:"), v) for n, v in found if v is not None]
-    return F.coalesce(F.nullif(F.concat_ws("|", *parts), F.lit("")), fallback) if parts else fallback
+    return let(F.concat_ws("|", *parts), lambda v: F.when(v != "", v).otherwise(fallback)) if parts else fallback
 
 
 def record_date(df: DataFrame) -> Column:
@@ -59,7 +59,8 @@ def mark(df: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Adds fingerprint, is_duplicate and duplicate_of (the keeper's row_id)."""
     if not cfg.dedup or cfg.strategy == "disabled":
         return df.withColumns({"fingerprint": F.lit(None).cast("string"), "is_duplicate": F.lit(False), "duplicate_of": F.lit(None).cast("string")})
-    keyed = df.withColumn("fingerprint", F.sha2(key(df, cfg), 256))
+    # never null, and known to be: else a join would push the whole expression down into a filter once more
+    keyed = df.withColumn("fingerprint", F.coalesce(F.sha2(key(df, cfg), 256), F.lit("")))
     first = keyed.groupBy("fingerprint").agg(F.min(F.struct(LINE, "row_id")).alias("first"))
     joined = keyed.join(first, "fingerprint")
     again = F.col("row_id") != F.col("first.row_id")
@@ -71,31 +72,41 @@ def enrich(df: DataFrame, cfg: Config = Config()) -> DataFrame:
 
     ``df`` is marked. Of newer duplicates the last in input order wins; gaps take the first value in input order. Fields that are
     double have a gap only where null, and zero is no value of a duplicate. all_fields has nothing to add, and is left alone.
+
+    One pass gathers, for each key and date, the first and last values in input order (both combine before the shuffle); a
+    keeper then takes its gaps from the first of all and its updates from the dates after its own. A key has as many dates as
+    its records have days.
     """
     if not cfg.dedup or cfg.strategy in ("disabled", "all_fields"):
         return df
-    dated = df.withColumn("__date", record_date(df))
-    rest = dated.where("is_duplicate")
-    owner = dated.where("not is_duplicate").select(F.col("fingerprint").alias("fp"), F.col("__date").alias("owner_date"))
-    learned = rest.join(owner, rest.fingerprint == owner.fp)
-    kinds = dict(zip(df.schema["clean"].dataType.names, (f.dataType.simpleString() for f in df.schema["clean"].dataType.fields)))
-    names = [n for n in kinds if n != "__"]
-    newer = F.col("__date") > F.col("owner_date")
-    aggs = []
-    for i, n in enumerate(names):
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema["clean"].dataType.fields}
+    names = list(kinds)
+    mutable = [n for n in names if n in values.MUTABLE]
+
+    def said(n: str, updating: bool = False) -> Column:
         c = F.col("clean")[n]
         says = (c != 0) if kinds[n] == "double" else (c != "")
-        aggs.append(F.min(F.when(says, F.struct(F.col(LINE), c.alias("v")))).alias(f"__f{i}"))
-        if n in values.MUTABLE:
-            fits = says & newer if cfg.placeholder_overwrites or kinds[n] == "double" else says & newer & (c != cfg.placeholder)
-            aggs.append(F.max(F.when(fits, F.struct(F.col(LINE), c.alias("v")))).alias(f"__u{i}"))
-    found = learned.groupBy("fp").agg(*aggs)
+        if updating and not cfg.placeholder_overwrites and kinds[n] != "double":
+            says = says & (c != cfg.placeholder)
+        return F.when(says, F.struct(F.col(LINE).alias("line"), c.alias("v")))
+
+    firsts = [F.min(F.when(F.col("is_duplicate"), said(n))).alias(f"f{i}") for i, n in enumerate(names)]
+    lasts = [F.max(F.when(F.col("is_duplicate"), said(n, True))).alias(f"u{i}") for i, n in enumerate(mutable)]
+    by_date = df.withColumn("__date", record_date(df)).groupBy("fingerprint", "__date").agg(*firsts, *lasts, F.max(~F.col("is_duplicate")).alias("own"))
+    found = by_date.groupBy(F.col("fingerprint").alias("fp")).agg(
+        *(F.min(f"f{i}").alias(f"f{i}") for i in range(len(names))),
+        F.max(F.when(F.col("own"), F.col("__date"))).alias("owner_date"),
+        F.collect_list(F.when(F.col("__date").isNotNull(), F.struct(F.col("__date").alias("date"), *(F.col(f"u{i}") for i in range(len(mutable)))))).alias("dates"),
+    )
+    newer = F.filter("dates", lambda d: d["date"] > F.col("owner_date"))
+    last = lambda i: F.array_max(F.transform(newer, lambda d: d[f"u{i}"]))
+    found = found.select("fp", *(f"f{i}" for i in range(len(names))), *(last(i).alias(f"u{i}") for i in range(len(mutable))))
     out = []
     for i, n in enumerate(names):
         c = F.col("clean")[n]
         own = c if kinds[n] == "double" else F.nullif(c, F.lit(""))
-        update = [F.col(f"__u{i}")["v"]] if n in values.MUTABLE else []
-        got = F.coalesce(*update, own, F.col(f"__f{i}")["v"], c)
+        update = [F.col(f"u{mutable.index(n)}")["v"]] if n in mutable else []
+        got = F.coalesce(*update, own, F.col(f"f{i}")["v"], c)
         out.append(F.when(F.col("is_duplicate"), c).otherwise(got).alias(n))
     joined = df.join(found, df.fingerprint == found.fp, "left")
-    return joined.withColumn("clean", F.struct(*out)).select(*df.columns)
+    return joined.withColumn("clean", let(F.struct(*out), lambda x: x)).select(*df.columns)

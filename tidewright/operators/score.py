@@ -27,13 +27,13 @@ def confidence(df: DataFrame, contacts: list[str], cfg: Config = Config()) -> Co
     score = F.lit(1.0)
     for field, cost in (("email", 0.3), ("phone", 0.1)):
         if field in contacts:
-            score = F.when(_absent(df, field, cfg), score - F.lit(cost)).otherwise(score)
+            score = score - F.when(_absent(df, field, cfg), F.lit(cost)).otherwise(0.0)  # a sum: its text names the score so far once
     for f in fields_of(df, "details"):
-        score = F.when(F.col("details")[f] == "INVALID", score - F.lit(0.5)).otherwise(score)
+        score = score - F.when(F.col("details")[f] == "INVALID", 0.5).otherwise(0.0)
     if "job_title" in fields_of(df, "clean"):
         job = F.col("clean")["job_title"]
         odd = job.rlike(r"[^\x00-\x7F]") | job.rlike(r"[/|]") | job.rlike(rf"(?i)\b({'|'.join(values.BUZZWORDS)})\b")
-        score = F.when((job != "") & odd, score - F.lit(0.6)).otherwise(score)
+        score = score - F.when((job != "") & odd, 0.6).otherwise(0.0)
     return F.greatest(F.lit(0.0), score)
 
 
