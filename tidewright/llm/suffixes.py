@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 
 from .common import Staged, arrow_map, block_count, by_block
@@ -184,32 +185,73 @@ def refine(data: np.ndarray, length: int) -> np.ndarray:
     return bucket
 
 
-def repeated(route: np.ndarray, key: np.ndarray, size: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
-    """For every string of the entries (in order) whether it also starts in an entry with a smaller key."""
-    order = np.argsort(route, kind="stable")
-    strings = size.astype(np.int64) - length + 1
-    first = np.cumsum(size.astype(np.int64)) - size
+def _refined(route: np.ndarray, key: np.ndarray, size: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """For every string of entries in order of ``route`` whether it also starts in an entry of smaller key."""
+    strings = size - length + 1
+    first = np.cumsum(size) - size
     out_at = np.cumsum(strings) - strings
     out = np.zeros(int(strings.sum()), bool)
-    edges = np.flatnonzero(np.concatenate([[True], route[order][1:] != route[order][:-1]])) if len(order) else np.zeros(0, np.int64)
-    ends = np.concatenate([edges[1:], [len(order)]])
-    total = np.concatenate([[0], np.cumsum(size[order].astype(np.int64))])
+    edges = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]])) if len(route) else np.zeros(0, np.int64)
+    ends = np.concatenate([edges[1:], [len(route)]])
+    total = np.concatenate([[0], np.cumsum(size)])
     i = 0
     while i < len(edges):  # whole anchors, some MB at a time
         j = max(i + 1, int(np.searchsorted(total[ends], total[edges[i]] + SORTED)))
-        part = order[edges[i] : ends[j - 1]]
-        x = data[_stretches(first[part], size[part])]
+        part = slice(int(edges[i]), int(ends[j - 1]))
+        x = data[total[part.start] : total[part.stop]]
         bucket = refine(x, length)
-        place = np.cumsum(size[part].astype(np.int64)) - size[part]
-        b = bucket[_stretches(place, strings[part])]
+        at = _stretches(first[part] - first[part.start], strings[part])
         owner = np.repeat(key[part], strings[part])
         least = np.full(int(bucket.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, b, owner)
-        out[_stretches(out_at[part], strings[part])] = owner > least[b]
+        np.minimum.at(least, bucket[at], owner)
+        out[out_at[part.start] : out_at[part.start] + len(at)] = owner > least[bucket[at]]
         i = j
     return out
 
 
+def repeated(route: np.ndarray, key: np.ndarray, size: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """For every string of the entries (in order) whether it also starts in an entry with a smaller key.
+
+    Entries equal as a whole are one, that of the least key; the suffixes of what is left of an anchor are sorted if it has
+    more than one.
+    """
+    size = size.astype(np.int64)
+    strings, first = size - length + 1, np.cumsum(size) - size
+    out = np.zeros(int(strings.sum()), bool)
+    if not len(size):
+        return out
+    c1, c2 = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
+    i = 0
+    while i < len(size):  # whole entries, a slice of bytes at a time
+        j = max(i + 1, int(np.searchsorted(first, first[i] + SLICE)))
+        base, x = first[i], data[first[i] : first[j - 1] + size[j - 1]]
+        for k, c in ((0, c1), (1, c2)):
+            c[i:j] = _Sums(x, k).stretch(first[i:j] - base, first[i:j] - base + size[i:j])
+        i = j
+    order = np.lexsort((key, c2, c1, route))
+    r, a, b = route[order], c1[order], c2[order]
+    new = np.concatenate([[True], (r[1:] != r[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    content = np.empty(len(size), np.int64)
+    content[order] = np.cumsum(new) - 1
+    one = order[new]
+    whole = key > key[one][content]
+    mark = np.repeat(whole, strings)
+    anchors = route[one]
+    many = np.zeros(len(one), bool)
+    many[1:] = anchors[1:] == anchors[:-1]
+    many[:-1] |= anchors[1:] == anchors[:-1]
+    sub = one[many]
+    if len(sub):
+        x = data[_stretches(first[sub], size[sub])]
+        bits = _refined(route[sub], key[sub], size[sub], x, length)
+        bit_at = np.zeros(len(one), np.int64)
+        bit_at[many] = np.cumsum(strings[sub]) - strings[sub]
+        ask = np.flatnonzero(~whole & many[content])
+        at = np.cumsum(strings) - strings
+        mark[_stretches(at[ask], strings[ask])] = bits[_stretches(bit_at[content[ask]], strings[ask])]
+    return mark
+
+
 def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> tuple[DataFrame, int]:
     """Rows (block, a, b, data) of what to remove, as part of a mixed pass, and the number of blocks."""
     n = block_count(docs)
@@ -329,29 +371,39 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
                 at = np.searchsorted(((r >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32), np.arange(n + 1, dtype=np.uint64))
                 for s in np.flatnonzero(np.diff(at)).tolist():
                     i, j = at[s], at[s + 1]
-                    yield _blobs([(s, 0, block, np.uint32(j - i).tobytes() + r[i:j].tobytes() + key[i:j].tobytes() + size[i:j].astype("<u2").tobytes() + data[_stretches(p[i:j], size[i:j])].tobytes())])
+                    yield _blobs([(s, 0, block, _squeezed(np.uint32(j - i).tobytes() + r[i:j].tobytes() + key[i:j].tobytes() + size[i:j].astype("<u2").tobytes() + data[_stretches(p[i:j], size[i:j])].tobytes()))])
                 d, s, k, e = (np.concatenate(v) for v in zip(*wait))
                 yield _blobs([(block, 1, 0, np.concatenate(sure, axis=1).astype("<i4").tobytes()), (block, 2, 0, settled(d, s, k, rank[e])), (block, 3, 0, (size - length + 1).astype("<u2").tobytes())])
 
-    found = Staged(arrow_map(by_block([texts, small_rows(shared.df, 0)], n, mixed_order()), entries, _BLOB), "runs")
-    shared.drop()
+    found = arrow_map(by_block([texts, small_rows(shared.df, 0)], n, mixed_order()), entries, _BLOB)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (shard,), rows in groups(batches, 1):
+        """Entries of a shard become bits for their blocks; what else is dealt here goes through."""
+        for (shard, kind), rows in groups(batches, 2):
+            if kind:
+                for r in rows:
+                    yield _blobs([r])
+                continue
             parts = []
             for r in rows:
-                m = int(np.frombuffer(r[3], "<u4", 1)[0])
-                parts.append((r[2], np.frombuffer(r[3], "<u8", m, 4), np.frombuffer(r[3], "<i8", m, 4 + 8 * m), np.frombuffer(r[3], "<u2", m, 4 + 16 * m), np.frombuffer(r[3], np.uint8, offset=4 + 18 * m)))
+                data = zstandard.decompress(r[3])
+                m = int(np.frombuffer(data, "<u4", 1)[0])
+                parts.append((r[2], np.frombuffer(data, "<u8", m, 4), np.frombuffer(data, "<i8", m, 4 + 8 * m), np.frombuffer(data, "<u2", m, 4 + 16 * m), np.frombuffer(data, np.uint8, offset=4 + 18 * m)))
             route, key, size, data = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3, 4))
-            bits_ = repeated(route, key, size.astype(np.int64), data, length)
+            bits_ = repeated(route, key, size, data, length)
             at = 0
             for p in parts:
                 m = int((p[3].astype(np.int64) - length + 1).sum())
                 yield _blobs([(p[0], 4, shard, np.uint32(m).tobytes() + np.packbits(bits_[at : at + m]).tobytes())])
                 at += m
 
-    answers = Staged(arrow_map(by_block([found.df.where("a = 0")], n, ["b"]), exact, _BLOB), "answers")
-    return small_rows(found.df.where("a > 0").unionByName(answers.df), 0), n
+    out = Staged(arrow_map(by_block([found], n, ["a", "b"]), exact, _BLOB), "runs")
+    shared.drop()
+    return small_rows(out.df, 0), n
+
+
+def _squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
 
 
 def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: Column | None = None) -> DataFrame:
