@@ -7,6 +7,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import values
 from .text import capitalize, clean_whitespace, let, strip, strip_emojis, title
@@ -101,7 +102,7 @@ _DATE_FORMS = [
 ]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _any_date(texts: pd.Series) -> pd.Series:
     """Whatever else pandas takes for a date, text by text."""
 

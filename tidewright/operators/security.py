@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import values
 from ..config import Config
@@ -42,7 +43,7 @@ def first_text_pattern(text: Column) -> Column:
     return F.coalesce(*(F.when(low.contains(p.lower()), F.lit(p)) for p in values.TEXT_PATTERNS))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _zip_verdict(contents: pd.Series) -> pd.Series:
     """Null for a sound archive, else what is wrong: MACRO or BAD_ZIP."""
 
