@@ -17,6 +17,11 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(c), body), 1)
 
 
+def pin(c: Column) -> Column:
+    """The same value, computed where it stands: filters on it are not pushed below, where they would repeat what it is made of."""
+    return F.when(F.rand(0) >= 0, c)
+
+
 def strip(c: Column) -> Column:
     """Without white space (of any script) at both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

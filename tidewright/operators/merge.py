@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import values
 from ..config import Config
-from ..functions.text import strip
+from ..functions.text import pin, strip
 from .clean import LINE, fields_of
 
 
@@ -23,7 +23,8 @@ def finish(df: DataFrame, cfg: Config = Config()) -> DataFrame:
         no = lambda c: F.coalesce(c, F.lit("")).isin("", cfg.placeholder)
         nameless = (F.col("status") == "CLEAN") & no(F.col("clean")["first_name"]) & no(F.col("clean")["last_name"])
     open_ = ~F.col("status").isin("CLEAN", "REJECTED")
-    return df.withColumns({"failure_reason": F.when(nameless, "EMPTY_NAME").when(open_, "UNFINISHED_PROCESSING").otherwise(F.col("failure_reason")), "status": F.when(nameless | open_, "REJECTED").otherwise(F.col("status"))})
+    reason = F.when(nameless, "EMPTY_NAME").when(open_, "UNFINISHED_PROCESSING").otherwise(F.col("failure_reason"))
+    return df.withColumns({"failure_reason": pin(reason), "status": pin(F.when(nameless | open_, "REJECTED").otherwise(F.col("status")))})
 
 
 def conservation(inputs: DataFrame, final: DataFrame, rejected: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import values
 from ..config import Config
+from ..functions.text import pin
 from .clean import fields_of
 
 
@@ -56,8 +57,8 @@ def route(df: DataFrame, contacts: list[str], cfg: Config = Config()) -> DataFra
     out = df.withColumns({"__score": score, "__lacking": lacking})
     return out.withColumns(
         {
-            "status": F.when(F.col("is_duplicate"), "REJECTED").otherwise(status),
-            "failure_reason": F.when(F.col("is_duplicate"), "DUPLICATE"),
-            "confidence_score": F.when(F.col("is_duplicate"), 0.0).otherwise(points),
+            "status": pin(F.when(F.col("is_duplicate"), "REJECTED").otherwise(status)),
+            "failure_reason": pin(F.when(F.col("is_duplicate"), "DUPLICATE")),
+            "confidence_score": pin(F.when(F.col("is_duplicate"), 0.0).otherwise(points)),
         }
     ).drop("__score", "__lacking")

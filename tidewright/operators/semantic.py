@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import values
 from ..config import Config
+from ..functions.text import pin
 from .clean import fields_of
 
 PROMPT = "Clean this record. Answer with one JSON object that uses the keys first_name, last_name, email, phone, company and job_title, and with nothing else.\n"
@@ -122,7 +123,7 @@ def repair(df: DataFrame, resolver: Resolver | None = None, cfg: Config = Config
     """Routed rows after repair; keys of answers that are no fields go to the map ``extras``."""
     if not cfg.repair:
         return df.withColumn("extras", F.lit(None).cast("map<string,string>"))
-    asked = replies(df, resolver, cfg).withColumn("__v", verdict(F.col("reply"))).withColumn("__m", reply_map(F.col("reply")))
+    asked = replies(df, resolver, cfg).withColumn("__v", pin(verdict(F.col("reply")))).withColumn("__m", pin(reply_map(F.col("reply"))))
     asks = F.col("status") == "AI_REQUIRED"
     good = asks & ~F.col("failed") & (F.col("__v") == "OBJECT")
     names = fields_of(df, "clean")
@@ -132,11 +133,11 @@ def repair(df: DataFrame, resolver: Resolver | None = None, cfg: Config = Config
     return (
         asked.withColumns(
             {
-                "clean": F.struct(*fixed),
+                "clean": pin(F.struct(*fixed)),
                 "extras": F.when(good, extras),
-                "failure_reason": F.when(asks & F.col("failed"), "MODEL_CRASH").when(asks & ~good, "INVALID_FORMAT").otherwise(F.col("failure_reason")),
+                "failure_reason": pin(F.when(asks & F.col("failed"), "MODEL_CRASH").when(asks & ~good, "INVALID_FORMAT").otherwise(F.col("failure_reason"))),
                 "confidence_score": F.when(good, REPAIRED_SCORE).otherwise(F.col("confidence_score")),
-                "status": F.when(good, "CLEAN").when(asks, "REJECTED").otherwise(F.col("status")),
+                "status": pin(F.when(good, "CLEAN").when(asks, "REJECTED").otherwise(F.col("status"))),
             }
         )
         .drop("reply", "failed", "__v", "__m")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,18 @@ def records(df: DataFrame, cfg: Config = Config(), resolver: Resolver | None = N
     out = score.route(out, score.expected(types), cfg)
     if until == "route":
         return out
-    out = repair(out, resolver, cfg)
+    out = repair(settled(out), resolver, cfg)
     return out if until == "repair" else merge.finish(out, cfg)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The rows as a checkpoint in the shared folder: what follows reads them several times, and must not plan or compute all before it again."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewright-"))
+    return df.checkpoint()
+
+
 def outputs(done: DataFrame, cfg: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """The final and the rejected table, flat and in their column order, before pruning."""
     return merge.flatten(done.where(F.col("status") == "CLEAN")), merge.flatten(done.where(F.col("status") == "REJECTED"), full=True)
