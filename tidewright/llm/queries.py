@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .oracle import ORACLE
 
 #: Name of the tokenizer file, its vocabulary size and the id that ends a document.
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 1
@@ -100,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
