@@ -406,12 +406,13 @@ def _squeezed(data: bytes) -> bytes:
     return zstandard.compress(data, 1)
 
 
-def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: Column | None = None) -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: Column | None = None, whole: bool = False) -> DataFrame:
     """Per document doc_id, n_bytes, spans (byte ranges removed: start, end), n_removed, kept (remaining bytes), and what ``carry`` gave.
 
     A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller doc_id; overlaps count, and
     strings are judged on the input. Rows with equal doc_ids do not remove each other's bytes; a null doc_id counts as smaller than
-    any other; null texts are empty; texts shorter than ``length`` keep all. Kept bytes may cut a character in two.
+    any other; null texts are empty; texts shorter than ``length`` keep all. Kept bytes may cut a character in two;
+    with ``whole``, what is left of such a character goes from ``kept`` too.
     """
     if not 8 <= anchor <= length:
         raise ValueError("an anchor has 8 bytes at least, and no more than a string")
@@ -449,7 +450,7 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot
                 starts = gone.get(place)
                 place += 1
                 spans: list[dict] = []
-                kept = data
+                kept, left = data, len(data)
                 if starts is not None:
                     cover = np.zeros(len(data) + 1, np.int32)
                     np.add.at(cover, starts, 1)
@@ -457,7 +458,10 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot
                     covered = np.cumsum(cover[:-1]) > 0
                     spans = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(covered)))]
                     kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
-                for column, value in zip(out, (r[5], len(data), spans, len(data) - len(kept), kept, r[4])):
+                    left = len(kept)
+                    if whole:
+                        kept = kept.decode("utf-8", "ignore").encode()
+                for column, value in zip(out, (r[5], len(data), spans, len(data) - left, kept, r[4])):
                     column.append(value)
                 size += len(data)
                 if size > 4 << 20:
