@@ -5,7 +5,6 @@ language ID -> quality rules -> near-duplicate documents -> repeated byte string
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,16 +33,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that a document of smaller doc_id has already; half a character left at a cut goes too."""
-
-    @F.pandas_udf("string")
-    def whole_characters(data: pd.Series) -> pd.Series:
-        return data.map(lambda b: b.decode("utf-8", "ignore"))
-
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     row = docs.select(*others).schema
-    found = suffixes.dedup_bytes(docs, carry=F.to_json(F.struct(*others), {"ignoreNullFields": "true"}).cast("binary"))
-    text = F.when(F.col("n_removed") > 0, whole_characters("kept")).otherwise(F.expr("cast(kept as string)"))
-    back = found.select("doc_id", text.alias("text"), F.from_json(F.col("carry").cast("string"), row).alias("row")).withColumn("n_chars", F.length("text").cast("long"))
+    found = suffixes.dedup_bytes(docs, carry=F.to_json(F.struct(*others), {"ignoreNullFields": "true"}).cast("binary"), whole=True)
+    back = found.select("doc_id", F.col("kept").cast("string").alias("text"), F.from_json(F.col("carry").cast("string"), row).alias("row")).withColumn("n_chars", F.length("text").cast("long"))
     return back.select(*(F.col("row")[c].alias(c) if c in others else F.col(c) for c in docs.columns))
 
 
