@@ -221,6 +221,23 @@ def test_model_is_a_distribution():
     assert codes.tolist() == [2, (2 << 32) | 3, 3 << 32, 0, 4, 4 << 32] and at.tolist() == [0, 3, 4, 6]
 
 
+def test_both_fences_reject(spark):
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(600)]
+    prose = lambda n: r.choices(words, weights=[1 / (i + 3) for i in range(600)], k=n)
+    stock = [prose(6) for _ in range(16)]
+    rows = [(i, " ".join(prose(90) + [x for j, s in enumerate(stock) if r.random() < (0.9 if j % 4 else 0.2) for x in s][:48])) for i in range(300)]
+    rows += [(1000, " ".join(f"junk{i}" for i in range(90)))]  # words that nothing else has
+    rows += [(1001, " ".join(x for s in stock for x in s))]  # nothing but what the others repeat
+    rows += [(2000 + i, rows[7][1] + f" end{i}") for i in range(20)]  # near copies of a good text
+    out = {x["doc_id"]: x for x in perplexity.quality(spark.createDataFrame([(*x, "en") for x in rows], "doc_id long, text string, lang string")).collect()}
+    assert not any(x["base_failed"] for x in out.values())
+    good = [x["perplexity"] for i, x in out.items() if i < 300]
+    assert not out[1000]["kept"] and out[1000]["perplexity"] > max(good)
+    assert not out[1001]["kept"] and out[1001]["perplexity"] < min(good)
+    assert all(out[2000 + i]["kept"] for i in range(20)) and sum(out[i]["kept"] for i in range(300)) > 290
+
+
 def test_language_held_out(spark):
     r = random.Random(3)
     bits = {"aa": ["sch", "ung", "ein", "ich"], "bb": ["tion", "the", "ing", "and"], "cc": ["eau", "oux", "ette", "que"]}
