@@ -103,6 +103,21 @@ def test_near_dedup_stage(spark, docs, rows):
     assert long_copies and not set(long_copies) & {d for d, _ in want}
 
 
+def test_near_dedup_finds_lone_pairs_at_the_full_distance(spark, monkeypatch):
+    r = random.Random(4)
+    n, pairs = simhash.NEAR, 600
+    rows = []
+    for i in range(pairs):
+        bits = r.getrandbits(192)
+        rows += [(2 * i, bits), (2 * i + 1, bits ^ sum(1 << b for b in r.sample(range(192), n["distance"])))]
+    prints = [(i, *(x - (1 << 64) if x >> 63 else x for x in (b >> 64 * k & (1 << 64) - 1 for k in range(3)))) for i, b in rows]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *a: docs)
+    table = spark.createDataFrame(prints, "doc_id long, w0 long, w1 long, w2 long")
+    found = {x["doc_id"]: x["component_id"] for x in simhash.near_groups(table, **n).collect()}
+    linked = sum(found[2 * i + 1] == 2 * i for i in range(pairs))
+    assert linked >= 0.975 * pairs and len(set(found.values())) == 2 * pairs - linked
+
+
 def test_suffix_stage(spark, docs, rows):
     first, key = {}, lambda i: -(2**63) if i is None else i
     for i, t, *_ in rows:
