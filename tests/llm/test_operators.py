@@ -200,6 +200,15 @@ def test_fingerprints(docs, rows):
     assert fingerprint.compare(want[0][3], want[0][4]) == pytest.approx(want[0][5])
 
 
+def test_one_cutting_rule_for_all_lengths():
+    r = random.Random(6)
+    text = " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(400))
+    for n, m in ((1102, 800), (1001, 1000), (1400, 950)):  # versions on either side of 1000 characters
+        a, b = fingerprint.digests(text[:n]), fingerprint.digests(text[:m])
+        assert fingerprint.likeness([a], [b])[0] > 0.9 * m / n - 0.05
+    assert "".join(fingerprint.paragraphs(text + "\n" + "x" * 2500)).replace(" ", "") == text.replace(" ", "") + "x" * 2500
+
+
 def test_quality_counts(docs, rows):
     def one(d, t):
         t = t or ""

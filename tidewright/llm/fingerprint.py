@@ -1,6 +1,6 @@
 """Document fingerprints by invertible Bloom lookup sketches.
 
-A text's paragraphs (lines; long lines in runs of sentences) are hashed to digests, and each digest is added to one
+A text's paragraphs (lines; long lines in runs of words) are hashed to digests, and each digest is added to one
 cell in each of three rows: a count, the xor of digests and the xor of their checks. Cells of two versions subtract;
 peeling cells that hold a single digest recovers the digests that differ, with the side they are on. If peeling stops
 short, the same is retried with rows twice as long. A sketch is kept at the least size from which all its own digests
@@ -24,10 +24,8 @@ from pyspark.sql import functions as F
 from .common import arrow_map, by_block, columns, cut
 
 ROWS, LEAST = 3, 4
-#: Characters from which a paragraph ends at the next sentence end, and at which it ends anyway.
-PARAGRAPH, LONGEST = 100, 1000
-#: Texts up to this many characters have so few lines that their paragraphs are shorter.
-BRIEF, BRIEF_PARAGRAPH = 1000, 20
+#: Characters from which a paragraph ends at the next space, and at which it ends anyway; the same for texts of any length.
+PARAGRAPH, LONGEST = 20, 1000
 _HEAD = struct.Struct("<BII")
 _CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -35,20 +33,17 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 def paragraphs(text: str) -> list[str]:
     out = []
-    least, mark = (BRIEF_PARAGRAPH, " ") if len(text) <= BRIEF else (PARAGRAPH, ". ")
     for line in text.split("\n"):
-        if len(line) <= least:
+        if len(line) <= PARAGRAPH:
             if line:
                 out.append(line)
             continue
-        now = ""
-        for part in line.split(mark):
-            now = f"{now}{mark}{part}" if now else part
-            if len(now) >= least:
-                out += [now] if len(now) <= LONGEST else [now[i : i + LONGEST] for i in range(0, len(now), LONGEST)]
-                now = ""
-        if now:
-            out.append(now)
+        start, size = 0, len(line)
+        while start < size:
+            end = line.find(" ", start + PARAGRAPH)
+            end = size if end < 0 else end
+            out += [line[i : min(i + LONGEST, end)] for i in range(start, end, LONGEST)] if end - start > LONGEST else [line[start:end]]
+            start = end + 1
     return out
 
 
