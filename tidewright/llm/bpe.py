@@ -20,7 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import arrow_map, columns, cut
-from .tokens import MEMO, chunked
+from .tokens import chunked
+
+#: Entries that a worker keeps of each memo; a full one is emptied, which costs time only.
+MEMO = 400_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 

@@ -97,6 +97,26 @@ def cut(table: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa
         yield table.slice(start)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices of about ``limit`` bytes of the string column: small batches are joined, long ones cut."""
+
+    def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for whole in batches:
+        for b in cut(whole, column, limit):
+            n = b.column(column).nbytes
+            if held and size + n > limit:
+                yield joined(held)
+                held, size = [], 0
+            held.append(b)
+            size += n
+    if held:
+        yield joined(held)
+
+
 def block_count(docs: DataFrame) -> int:
     """Blocks for a table: by its estimated bytes, and no fewer than the shuffle partitions."""
     spark = docs.sparkSession

@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Staged, arrow_map, columns, cut
-from .tokens import LibraryEncoder, ids_of
+from .common import Staged, arrow_map, columns, slices
+from .tokens import LibraryEncoder
 
 MAGIC = b"TWP1"
 HEAD = struct.Struct("<4sBIQQ")
@@ -93,29 +93,37 @@ def write_token_files(docs: DataFrame, spec: str, vocabulary: int, end_id: int,
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, seg, start = LibraryEncoder.of(shared.value), TaskContext.get().partitionId(), 0, 0
-        keys: list = []
+        keys: list[pa.Array] = []  # of the segment that is being filled: documents, their lengths, ids
+        lengths: list[np.ndarray] = []
         held: list[np.ndarray] = []
         size = 0
 
-        def flush():
+        def flush() -> pa.RecordBatch:
             nonlocal seg, start, size
-            ids = np.concatenate(held)
-            row = pa.RecordBatch.from_pylist([{"shard": shard, "seg": seg, "seg_start": start, "doc_ids": list(keys), "lengths": [len(x) for x in held], "payload": pack_segment(ids, bits)}], schema=_SEGMENT)
+            doc_ids, n, ids = pa.concat_arrays(keys), np.concatenate(lengths), np.concatenate(held)
+            whole = [pa.array([0, len(n)], pa.int32())]
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([seg], pa.int32()), pa.array([start], pa.int64()), pa.ListArray.from_arrays(*whole, doc_ids), pa.ListArray.from_arrays(*whole, pa.array(n, pa.int64())), pa.array([pack_segment(ids, bits)], pa.binary())],
+                schema=_SEGMENT,
+            )
             seg, start, size = seg + 1, start + len(ids), 0
-            keys.clear()
-            held.clear()
+            for part in (keys, lengths, held):
+                part.clear()
             return row
 
-        for whole in batches:
-            for b in cut(whole, "text"):
-                offsets, ids = ids_of(b.column("text"), encoder.encode)
-                for i, key in enumerate(b.column("doc_id").to_pylist()):
-                    keys.append(key)
-                    held.append(np.append(ids[offsets[i] : offsets[i + 1]], np.uint32(end_id)))
-                    size += len(held[-1])
-                    if size >= SEGMENT_IDS:
-                        yield flush()
-        if held:
+        for b in slices(batches, "text"):
+            offsets, ids = encoder.ids(b.column("text"), end_id)
+            i, n = 0, b.num_rows
+            while i < n:  # whole documents until the segment is full
+                j = min(n, int(np.searchsorted(offsets, offsets[i] + SEGMENT_IDS - size)))
+                keys.append(b.column("doc_id").slice(i, j - i))
+                lengths.append(np.diff(offsets[i : j + 1]))
+                held.append(ids[offsets[i] : offsets[j]])
+                size += int(offsets[j] - offsets[i])
+                if size >= SEGMENT_IDS:
+                    yield flush()
+                i = j
+        if size:
             yield flush()
 
     ordered = columns(docs, "doc_id", "text").repartitionByRange(n, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
@@ -130,13 +138,15 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
-                ids = unpack_segment(row["payload"])
-                ends = np.cumsum(row["lengths"], dtype=np.int64)
-                starts = ends - np.asarray(row["lengths"], np.int64)
+            for i in range(b.num_rows):
+                lengths = b.column("lengths")[i].values
+                n = lengths.to_numpy()
+                ids = unpack_segment(b.column("payload")[i].as_buffer())
+                ends = np.cumsum(n, dtype=np.int64)
+                starts = ends - n
                 view = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
-                crc = [zlib.crc32(view[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(starts + row["seg_start"] + row["base"]), pa.array(row["lengths"], pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                crc = [zlib.crc32(view[s:e]) for s, e in zip((4 * starts).tolist(), (4 * ends).tolist())]
+                yield pa.RecordBatch.from_arrays([b.column("doc_ids")[i].values, pa.array(starts + b.column("seg_start")[i].as_py() + b.column("base")[i].as_py()), lengths, pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     spark = files.sparkSession
     # one row for a written shard: as many as there were range partitions
