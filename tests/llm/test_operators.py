@@ -81,14 +81,49 @@ def test_bit_packing(bits):
 
 
 def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_str(tokenizer_spec())
+    want = {}
+    for i, text, *_ in rows:
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, END_ID], "<u4")
+        want.setdefault((i, len(ids)), []).append(ids)
     pieces = packing.pack_documents(docs, tokenizer_spec(), END_ID).collect()
-    ends, total = {}, {}
+    ends, found = {}, {}
     for p in sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"])):
         assert ends.get(p["sequence_id"], 0) == p["offset"]
         ends[p["sequence_id"]] = p["offset"] + p["length"]
-        total[p["doc_id"]] = total.get(p["doc_id"], 0) + p["length"]
+        found.setdefault((p["doc_id"], p["doc_tokens"]), []).append((p["start"], p["length"], p["ids_crc32"]))
     assert all(e == 2048 or e & (e - 1) == 0 for e in ends.values()) and max(ends.values()) <= 2048
-    assert set(total) == {r[0] for r in rows}
+    assert set(found) == set(want)
+    for k, parts in found.items():  # every id of each document, once for each row that has these ids
+        cover = [0] * k[1]
+        for start, n, crc in parts:
+            assert crc in {zlib.crc32(ids[start : start + n].tobytes()) for ids in want[k]}
+            cover[start : start + n] = [c + 1 for c in cover[start : start + n]]
+        assert set(cover) == {len(want[k])}
+
+
+def test_solved_counts_place_most_remainders():
+    lengths = np.random.default_rng(3).lognormal(6.3, 1.0, 4000).astype(int) + 1
+    sequences, rest = packing.placed(lengths.tolist(), 2048)
+    assert len(rest) < 0.05 * len(lengths)
+    assert all(2048 - 4 * 64 < sum(p[2] for p in s) <= 2048 for s in sequences)
+
+
+def test_least_squares_against_brute_force():
+    assert sorted(packing.combinations([1, 2, 4], 4, 3)) == [(1, 1, 2), (2, 2), (4,)]
+    g = np.random.default_rng(4)
+    for _ in range(30):
+        a, h = g.integers(0, 3, (5, 4)).astype(float), g.integers(0, 20, 5).astype(float)
+        best = np.inf  # over every set of columns, the one whose solution is not negative
+        for mask in range(16):
+            cols = [j for j in range(4) if mask >> j & 1]
+            x = np.linalg.lstsq(a[:, cols], h, rcond=None)[0] if cols else np.zeros(0)
+            if (x >= -1e-9).all():
+                best = min(best, float(((a[:, cols] @ x - h) ** 2).sum()))
+        x = packing.solve_counts(a, h)
+        assert (x >= 0).all() and float(((a @ x - h) ** 2).sum()) == pytest.approx(best, abs=1e-6)
 
 
 def test_pack_lengths_hold_each_token_once():

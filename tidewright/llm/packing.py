@@ -1,10 +1,12 @@
 """Packing of tokenised documents into fixed windows by non-negative least squares.
 
-Whole windows of a document are sequences by themselves. For what is left of each document, shallow
-combinations of two or three remainder lengths that fill a window exactly are enumerated, repeat counts
-are solved against the histogram of remainders under x >= 0, rounded down, and filled with documents.
-Remainders that no combination took are packed greedily, longest first, and cut where a window is full,
-so only the last window of a batch can be short; it is cut into sequences whose lengths are powers of two.
+Whole windows of a document are sequences by themselves. What is left of each document is counted in a histogram of
+lengths in units, a 32nd of the window. Shallow combinations of up to DEPTH lengths that fill a window are enumerated,
+their repeat counts are solved against the histogram under x >= 0 and rounded, and each combination is filled with
+documents as often. A solution has no more combinations than the histogram has lengths, so rounding leaves little.
+What no combination took is packed greedily, longest first: it fills the part of a unit that each sequence has left, then
+windows of its own, and is cut where a window is full, so only the last window of a batch can be short; it is cut into
+sequences whose lengths are powers of two.
 """
 
 from __future__ import annotations
@@ -17,112 +19,118 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, columns, cut
-from .tokens import LibraryEncoder, ids_of
+from .common import arrow_map, columns, slices
+from .tokens import LibraryEncoder
 
-#: Tokens that a task holds and packs at once, columns of the system, and steps of its solution.
-BATCH_TOKENS, COLUMNS, STEPS = 1 << 22, 20_000, 150
+#: Tokens that a task holds and packs at once.
+BATCH_TOKENS = 1 << 22
+#: Units in a window, and lengths in a combination.
+UNITS, DEPTH = 32, 4
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
-
-def combinations(histogram: np.ndarray, window: int, limit: int = COLUMNS) -> np.ndarray:
-    """Rows (a, b, c) of lengths, c = 0 in a pair, that fill the window and occur; the most frequent ``limit``."""
-    have = np.flatnonzero(histogram[:window] > 0)
-    have = have[have > 0]
-    pairs = [[a, window - a, 0] for a in have.tolist() if 2 * a <= window and histogram[window - a] > 0]
-    a, b = np.meshgrid(have, have, indexing="ij")
-    c = window - a - b
-    ok = (a <= b) & (c >= b)
-    ok[ok] = histogram[c[ok]] > 0
-    triples = np.stack([a[ok], b[ok], c[ok]], axis=1)
-    rows = np.concatenate([np.array(pairs, np.int64).reshape(-1, 3), triples])
-    if len(rows) > limit:
-        weight = np.where(rows > 0, histogram[rows], histogram.max()).min(axis=1)
-        rows = rows[np.argsort(-weight, kind="stable")[:limit]]
-    return rows
-
-
-def solve_counts(rows: np.ndarray, histogram: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """x >= 0 that brings A x near the histogram in least squares; column j of A counts the lengths of rows[j]."""
-    if not len(rows):
-        return np.zeros(0)
-    used, h = rows > 0, histogram.astype(float)
-    h[0] = 0
-
-    def apply(x):
-        return np.bincount(rows.ravel(), weights=(x[:, None] * used).ravel(), minlength=len(h))
-
-    def back(y):
-        return (y[rows] * used).sum(axis=1)
-
-    degree = apply(np.ones(len(rows)))
-    step = 1.0 / np.maximum(1.0, back(degree))  # diagonal bound: A'A is dominated by its row sums
-    x, v, t = np.zeros(len(rows)), np.zeros(len(rows)), 1.0
-    for _ in range(steps):  # accelerated projected gradient
-        new = np.maximum(0.0, v - step * back(apply(v) - h))
-        t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-        v, x = new + (before - 1) / t * (new - x), new
+Piece = tuple[int, int, int]  # document, start in it, tokens
+
+
+def combinations(have: list[int], total: int, depth: int = DEPTH) -> list[tuple[int, ...]]:
+    """Every choice of at most ``depth`` of the ascending lengths ``have``, repeats allowed, whose sum is ``total``."""
+    if depth == 0 or not total:
+        return [()] if not total else []
+    return [(a, *rest) for i, a in enumerate(have) if a <= total for rest in combinations(have[i:], total - a, depth - 1)]
+
+
+def solve_counts(a: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """x >= 0 with the least |a x - h|, by active sets: columns enter by their gradient, and leave where they would fall below 0."""
+    x = np.zeros(a.shape[1])
+    active = np.zeros(len(x), bool)
+    for _ in range(3 * len(x)):
+        slope = a.T @ (h - a @ x)
+        slope[active] = -np.inf
+        if not (slope > 1e-7 * max(1.0, float(np.abs(h).max(initial=0)))).any():
+            break
+        active[int(slope.argmax())] = True
+        while active.any():
+            best = np.zeros(len(x))
+            best[active] = np.linalg.lstsq(a[:, active], h, rcond=None)[0]
+            low = active & (best <= 1e-9)
+            if not low.any():
+                x = best
+                break
+            step = float((x[low] / np.maximum(x[low] - best[low], 1e-300)).min())
+            x = np.maximum(0.0, x + min(1.0, max(0.0, step)) * (best - x))
+            active &= x > 1e-9
     return x
 
 
-def pack_lengths(lengths: list[int], window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of pieces (document, start, length) that hold each token once; every sequence is full or a power of two long."""
-    sequences: list[list[tuple[int, int, int]]] = []
-    waiting: list[list[int]] = [[] for _ in range(window)]
+def placed(lengths: list[int], window: int) -> tuple[list[list[Piece]], list[Piece]]:
+    """(sequences that solved combinations make, pieces that none took); each is at most a window, and holds remainders whole."""
+    unit = max(1, window // UNITS)
+    total = window // unit
+    waiting: list[list[Piece]] = [[] for _ in range(total + 2)]
     for i, n in enumerate(lengths):
-        for start in range(0, n - n % window, window):
-            sequences.append([(i, start, window)])
-        if n % window:
-            waiting[n % window].append(i)
-    histogram = np.array([len(w) for w in waiting] + [0], np.int64)
-    rows = combinations(histogram, window)
-    counts = np.floor(solve_counts(rows, histogram) + 1e-6).astype(np.int64)
-
-    def piece(i: int) -> tuple[int, int, int]:
-        return i, lengths[i] - lengths[i] % window, lengths[i] % window
-
-    for row, count in sorted(zip(map(tuple, rows.tolist()), counts.tolist()), key=lambda p: (-p[1], p[0])):
-        parts = [a for a in row if a]
-        for _ in range(count):
-            if any(len(waiting[a]) < parts.count(a) for a in parts):
-                break  # rounding asked for more than there is
-            sequences.append([piece(waiting[a].pop()) for a in parts])
-    open_: list[tuple[int, int, int]] = []
-    room = window
-    for a in range(window - 1, 0, -1):
-        for i in waiting[a]:
-            _, start, left = piece(i)
-            while left:
-                n = min(left, room)
-                open_.append((i, start, n))
-                start, left, room = start + n, left - n, room - n
-                if not room:
-                    sequences.append(open_)
-                    open_, room = [], window
-    size = window - room
-    while size:  # the short end, in powers of two
-        want = 1 << (size.bit_length() - 1)
-        size -= want
-        part: list[tuple[int, int, int]] = []
-        while want:
-            i, start, n = open_[0]
-            k = min(n, want)
-            part.append((i, start, k))
-            want -= k
-            open_[0] = (i, start + k, n - k)
-            if k == n:
-                open_.pop(0)
-        sequences.append(part)
-    return sequences
+        left = n % window
+        if left:
+            waiting[min(total + 1, -(-left // unit))].append((i, n - left, left))
+    rest = waiting.pop()  # longer than the whole units of a window
+    histogram = np.array([len(w) for w in waiting], float)
+    rows = combinations([k for k in range(1, total + 1) if histogram[k]], total)
+    sequences: list[list[Piece]] = []
+    if rows:
+        a = np.zeros((total + 1, len(rows)))
+        for j, row in enumerate(rows):
+            np.add.at(a[:, j], list(row), 1.0)
+        counts = np.rint(solve_counts(a, histogram)).astype(int)
+        for j in np.argsort(-counts, kind="stable").tolist():
+            for _ in range(int(counts[j])):
+                if any(len(waiting[k]) < rows[j].count(k) for k in rows[j]):
+                    break  # rounding asked for more than there is
+                sequences.append([waiting[k].pop() for k in rows[j]])
+    return sequences, rest + [p for w in waiting for p in w]
+
+
+def pack_lengths(lengths: list[int], window: int) -> list[list[Piece]]:
+    """Sequences of pieces (document, start, length) that hold each token once; every sequence is full or a power of two long."""
+    whole = [[(i, start, window)] for i, n in enumerate(lengths) for start in range(0, n - n % window, window)]
+    sequences, rest = placed(lengths, window)
+    room = [window - sum(p[2] for p in s) for s in sequences]
+    need, there = sum(room), sum(p[2] for p in rest)
+    while need > there:  # not enough to fill them all: the last ones are given up
+        gone = sequences.pop()
+        need -= room.pop()
+        there += sum(p[2] for p in gone)
+        rest += gone
+    rest.sort(key=lambda p: p[2])  # longest at the end
+
+    def take(size: int) -> list[Piece]:
+        out: list[Piece] = []
+        while size:
+            i, start, n = rest.pop()
+            k = min(n, size)
+            out.append((i, start, k))
+            size -= k
+            if k < n:
+                rest.append((i, start + k, n - k))
+        return out
+
+    for s, n in zip(sequences, room):
+        s += take(n)
+    left = there - need
+    made = [take(window) for _ in range(left // window)]
+    left %= window
+    while left:  # the short end, in powers of two
+        size = 1 << (left.bit_length() - 1)
+        made.append(take(size))
+        left -= size
+    return whole + sequences + made
 
 
 def pack_documents(docs: DataFrame, spec: str, end_id: int, window: int = 2048) -> DataFrame:
     """One row for each piece of each document: where it lies in the document and in its sequence, and the CRC of its ids.
 
-    Each task packs its documents in batches of about BATCH_TOKENS, so memory is bounded, nothing is shuffled and a
-    retried task repeats its own sequences; sequence ids are unique by task. A null text is empty and has the end id
-    only; rows with equal or null doc_ids are packed as documents of their own; an empty table gives no row.
+    Each task packs its documents in batches of about BATCH_TOKENS, with a histogram of each, so memory is bounded, nothing is
+    shuffled and a retried task repeats its own sequences; sequence ids are unique by task. A null or empty text has the end
+    id only; a text of any length is cut into whole windows and what is left; rows with equal or null doc_ids are packed as
+    documents of their own; extra columns are ignored; an empty table gives no row.
     """
     if window < 2:
         raise ValueError("a window holds two tokens at least")
@@ -130,37 +138,38 @@ def pack_documents(docs: DataFrame, spec: str, end_id: int, window: int = 2048)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sequence = LibraryEncoder.of(shared.value), TaskContext.get().partitionId() << 32
-        keys: list = []
+        keys: list = []  # of the batch that is being filled: documents, their lengths, ids
+        lengths: list[int] = []
         held: list[np.ndarray] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence, size
-            lengths = [len(x) for x in held]
-            views = [memoryview(x).cast("B") for x in held]
+            view = memoryview(np.ascontiguousarray(np.concatenate(held), "<u4")).cast("B")
+            first = (4 * (np.cumsum(lengths) - lengths)).tolist()
             out: list[list] = [[], [], [], [], [], [], []]
             for pieces in pack_lengths(lengths, window):
                 offset = 0
                 for i, start, n in pieces:
-                    for column, value in zip(out, (keys[i], start, n, zlib.crc32(views[i][4 * start : 4 * (start + n)]), lengths[i], sequence, offset)):
+                    at = first[i] + 4 * start
+                    for column, value in zip(out, (keys[i], start, n, zlib.crc32(view[at : at + 4 * n]), lengths[i], sequence, offset)):
                         column.append(value)
                     offset += n
                 sequence += 1
             size = 0
-            keys.clear()
-            held.clear()
+            for part in (keys, lengths, held):
+                part.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-        for whole in batches:
-            for b in cut(whole, "text"):
-                offsets, ids = ids_of(b.column("text"), encoder.encode)
-                for i, key in enumerate(b.column("doc_id").to_pylist()):
-                    keys.append(key)
-                    held.append(np.append(ids[offsets[i] : offsets[i + 1]], np.uint32(end_id)))
-                    size += len(held[-1])
-                if size >= BATCH_TOKENS:
-                    yield flush()
-        if held:
+        for b in slices(batches, "text"):
+            offsets, ids = encoder.ids(b.column("text"), end_id)
+            keys += b.column("doc_id").to_pylist()
+            lengths += np.diff(offsets).tolist()
+            held.append(ids)
+            size += len(ids)
+            if size >= BATCH_TOKENS:
+                yield flush()
+        if size:
             yield flush()
 
     return arrow_map(columns(docs, "doc_id", "text"), run, SCHEMA)
