@@ -1,9 +1,10 @@
 """What the training-data operators share: input columns, staged tables, and passes over blocks of documents.
 
-A *block* is a set of whole documents chosen by a hash of ``doc_id``, so that several passes over the
+A *block* is a set of whole documents chosen by a hash of ``doc_id`` and text, so that several passes over the
 same input agree on it without keeping anything between them. A pass deals rows to block ``b`` in
-partition ``b``, sorts them so that small answer rows come before the texts, and streams the rows of a
-block through Python. Memory is bounded by the block, whose size is fixed while their number grows.
+partition ``b`` (texts travel in compressed packs), sorts them so that small answer rows come before the
+texts, and takes a block at a time through Python. Memory is bounded by the block, whose size is fixed
+while their number grows.
 """
 
 from __future__ import annotations
@@ -18,9 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-#: Input bytes (as Catalyst estimates them) that one block of documents should hold.
-BLOCK_BYTES = 12 << 20
+#: Bytes of text that one block of documents should hold, unless the session sets BLOCK_CONF. Messages between blocks grow with the
+#: square of their number, as segments of a shuffle do: executors with more memory should be given larger blocks.
+BLOCK_BYTES, BLOCK_CONF = 24 << 20, "spark.tidewright.blockBytes"
 #: Rows of text in an Arrow batch; batches are further cut by bytes in Python.
 TEXT_ROWS = 512
 #: A null doc_id sorts before every other.
@@ -118,15 +121,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20)
 
 
 def block_count(docs: DataFrame) -> int:
-    """Blocks for a table: by its estimated bytes, and no fewer than the shuffle partitions."""
+    """Blocks for a table: by the bytes of its texts, which are summed up, and no fewer than the shuffle partitions."""
     spark = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(math.ceil(size / BLOCK_BYTES), 1 << 20)) if size < 1 << 60 else least
+    size = docs.select(F.sum(F.octet_length(F.col("`text`").cast("string")))).first()[0] or 0
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / int(spark.conf.get(BLOCK_CONF, str(BLOCK_BYTES)))))
 
 
-def block_of(n: int, key: str = "doc_id") -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+def block_of(n: int, *keys: str) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(n)).cast("int")
 
 
 def by_block(parts: list[DataFrame], n: int, order: list[str]) -> DataFrame:
@@ -137,7 +139,7 @@ def by_block(parts: list[DataFrame], n: int, order: list[str]) -> DataFrame:
     return rows.repartitionById(n, F.col("block")).sortWithinPartitions("block", *order)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     text_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 

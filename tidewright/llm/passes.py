@@ -7,30 +7,78 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import NULL_ID, block_of
+from .common import NULL_ID, arrow_map, block_of, slices
 
-#: Columns of a mixed pass: small rows (kind, a, b, data) come before the documents (kind 9) of their block.
-MIXED = ["block", "kind", "a", "b", "data", "doc_id", "text"]
+#: Rows of a mixed pass: small ones (kind below DOC, a, b, data) come before the packs of documents of their block.
+MIXED = "block int, kind int, a long, b long, data binary"
 DOC = 9
+_MIXED = pa.schema([("block", pa.int32()), ("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("data", pa.binary())])
+#: Bytes of text that a task deals out at once.
+DEALT = 16 << 20
 
 
-def texts_of(docs: DataFrame, n: int, carry: Column | None = None) -> DataFrame:
-    """The documents as rows of a mixed pass; ``carry``, a binary expression of their columns, goes along as data."""
-    data = F.lit(None).cast("binary") if carry is None else carry
-    rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").cast("string").alias("text"), data.alias("data"))
-    return rows.select(block_of(n).alias("block"), F.lit(DOC).alias("kind"), F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "data", "doc_id", "text")
+def packs_of(docs: DataFrame, n: int, carry: list[str] | None = None) -> DataFrame:
+    """The documents as packs of a mixed pass: what a slice of the input has for a block, compressed.
+
+    The columns ``carry`` go along as they are, as c0, c1, ... of a struct ``row``.
+    """
+    rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").cast("string").alias("text"), *([F.struct(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry))).alias("row")] if carry else []))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for b in slices(batches, "text", DEALT):
+            block = b.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            at = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0]))
+            rest = b.select([c for c in b.schema.names if c != "block"])
+            out = [squeeze.compress(rest.take(pa.array(part)).serialize()) for part in np.split(order, at[1:])]
+            for i in range(0, len(out), 64):
+                part = pa.array(out[i : i + 64], pa.binary())
+                zero = pa.array(np.zeros(len(part), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(block[order][at[i : i + 64]], pa.int32()), pa.array(np.full(len(part), DOC, np.int32)), zero, zero, part], schema=_MIXED)
+
+    return arrow_map(rows.select(block_of(n, "doc_id", "text").alias("block"), "*"), run, MIXED)
+
+
+def pack_schema(docs: DataFrame, carry: list[str] | None = None) -> pa.Schema:
+    """The Arrow schema of the documents in a pack."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = StructType([StructField("doc_id", LongType()), StructField("text", StringType())])
+    if carry:
+        kinds.add("row", StructType([StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]))
+    return to_arrow_schema(kinds)
+
+
+def unpacked(packs: Iterable[bytes], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The documents of a block in order of doc_id and text, nulls first, a few MB at a time."""
+    table = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(zstandard.decompress(p)), schema) for p in packs], schema=schema)
+    table = table.set_column(1, "text", pc.cast(table.column("text"), pa.large_string()))
+    order = pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")], null_placement="at_start")
+    i, sizes = 0, np.cumsum(pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy()[order.to_numpy()])
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + (4 << 20))))
+        yield from table.take(order.slice(i, j - i)).combine_chunks().to_batches()
+        i = j
+
+
+def squeezed(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
 
 
 def small_rows(df: DataFrame, kind: int) -> DataFrame:
     """Rows (block, a, b, data) as rows of a mixed pass."""
-    return df.select("block", F.lit(kind).alias("kind"), "a", "b", "data", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    return df.select("block", F.lit(kind).alias("kind"), "a", "b", "data")
 
 
 def mixed_order() -> list:
-    return ["kind", "a", "b", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    return ["kind", "a", "b"]
 
 
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:

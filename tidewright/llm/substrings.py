@@ -21,11 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import Staged, arrow_map, block_count, by_block
-from .passes import DOC, distinct, doc_key, groups, mixed_order, pack_sorted, rolling, rows_of, runs, small_rows, texts_of, unpack_sorted
+from .passes import DOC, distinct, doc_key, groups, mixed_order, pack_schema, pack_sorted, packs_of, rolling, runs, small_rows, squeezed, unpack_sorted, unpacked
 from .perplexity import _words
 
 #: Words of a window, and cells of a sketch row for each block of documents (twice the windows a block is expected to have).
@@ -69,22 +70,6 @@ class _Block:
         return tuple(np.concatenate(x) if x else np.zeros(0, t) for x, t in zip((*self.h, self.doc, self.start), kinds))
 
 
-def _document_batches(rows: Iterator[tuple], size: int = 4 << 20) -> Iterator[tuple[list, list[str | None]]]:
-    """(doc_ids, texts) of mixed rows, a few MB at a time."""
-    ids: list = []
-    texts: list = []
-    n = 0
-    for r in rows:
-        ids.append(r[5])
-        texts.append(r[6])
-        n += len(r[6] or "")
-        if n >= size:
-            yield ids, texts
-            ids, texts, n = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def _cells(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
@@ -94,14 +79,14 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
     n = block_count(docs)
     bits = max(10, (n * CELLS_PER_BLOCK - 1).bit_length())
     width = -(-(1 << bits) // n)  # cells in a shard
-    texts = texts_of(docs, n)
+    texts, layout = packs_of(docs, n), pack_schema(docs)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (block,), rows in groups(batches, 1):
             parts: tuple[list, list] = ([], [])
-            for ids, text in _document_batches(rows):
+            for d in unpacked((r[4] for r in rows), layout):
                 held = _Block(window)
-                held.add(ids, pa.array(text, pa.string()))
+                held.add(d.column("doc_id").to_pylist(), d.column("text"))
                 for k, h in enumerate(held.arrays()[:2]):
                     parts[k].append(_cells(h, bits))
             for k in range(2):
@@ -134,12 +119,12 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
             def documents():
                 for r in rows:
                     if r[1] == DOC:
-                        yield r
+                        yield r[4]
                     else:
                         answers[r[2]].append((r[3], r[4]))
 
-            for ids, text in _document_batches(documents()):
-                held.add(ids, pa.array(text, pa.string()))
+            for d in unpacked(documents(), layout):
+                held.add(d.column("doc_id").to_pylist(), d.column("text"))
             h1, h2, doc, start = held.arrays()
             order = np.argsort(h1, kind="stable")
             a = h1[order]
@@ -194,7 +179,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, int]:
 
     def _settled(doc: np.ndarray, start: np.ndarray, entry: np.ndarray) -> bytes:
         order = np.lexsort((start, doc))
-        return np.stack([doc[order], start[order], entry[order]]).astype("<i4").tobytes()
+        return squeezed(np.stack([doc[order], start[order], entry[order]]).astype("<i4").tobytes())
 
     mixed = by_block([texts, small_rows(shared.df, 0)], n, mixed_order())
     found = Staged(arrow_map(mixed, entries, _BLOB), "windows")
@@ -226,62 +211,62 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word goes if a window over it has a word sequence that also starts earlier: in a smaller doc_id, or before it in the same
     row; windows are judged on the input. Rows with equal doc_ids are documents of their own, neither earlier than the other; a
-    null doc_id counts as smaller than any other; null texts have no words. Texts shorter than a window keep all.
+    null doc_id counts as smaller than any other; null texts have no words. Texts shorter than a window keep all; a text of any
+    length is taken whole. Extra columns are ignored; an empty table gives no row.
     """
     if window < 2:
         raise ValueError("a window has two words at least")
     small, n = removals(docs, window)
 
+    layout = pack_schema(docs)
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_,), rows in groups(batches, 1):
-            sure = wait = np.zeros((3, 0), np.int32)
+            settled = {1: np.zeros((3, 0), np.int32), 2: np.zeros((3, 0), np.int32)}
             bits: list = []
-            gone: dict[int, np.ndarray] | None = None
-            place = 0
-            out: list[list] = [[], [], [], [], []]
-            size = 0
-            for r in rows:
-                if r[1] != DOC:
-                    if r[2] == 1:
-                        sure = np.frombuffer(r[4], "<i4").reshape(3, -1)
-                    elif r[2] == 2:
-                        wait = np.frombuffer(r[4], "<i4").reshape(3, -1)
-                    else:
+
+            def documents():
+                for r in rows:
+                    if r[1] == DOC:
+                        yield r[4]
+                    elif r[2] == 3:
                         count = int(np.frombuffer(r[4][-4:], "<u4")[0])
                         bits.append(np.unpackbits(np.frombuffer(r[4][:-4], np.uint8), count=count).view(bool))
-                    continue
+                    else:
+                        settled[r[2]] = np.frombuffer(zstandard.decompress(r[4]), "<i4").reshape(3, -1)
+
+            gone: dict[int, np.ndarray] | None = None
+            place = 0
+            for d in unpacked(documents(), layout):
                 if gone is None:  # entries are numbered in order of their hash, as shards are
                     later = np.concatenate(bits) if bits else np.zeros(0, bool)
-                    all_ = np.concatenate([sure[:2], wait[:2, later[wait[2]]]], axis=1)
+                    all_ = np.concatenate([settled[1][:2], settled[2][:2, later[settled[2][2]]]], axis=1)
                     all_ = all_[:, np.argsort(all_[0], kind="stable")]
                     docs_, at = np.unique(all_[0], return_index=True)
                     gone = dict(zip(docs_.tolist(), np.split(all_[1], at[1:]))) if len(docs_) else {}
-                words = (r[6] or "").encode().split()
-                starts = gone.get(place)
-                place += 1
-                spans: list[dict] = []
-                kept = words
-                if starts is not None:
-                    cover = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(cover, starts, 1)
-                    np.add.at(cover, starts + window, -1)
-                    covered = np.cumsum(cover[:-1]) > 0
-                    spans = [{"start": s, "end": e} for s, e in zip(*(x.tolist() for x in runs(covered)))]
-                    kept = [w for w, c in zip(words, covered.tolist()) if not c]
-                for column, value in zip(out, (r[5], len(words), spans, len(words) - len(kept), b" ".join(kept).decode())):
-                    column.append(value)
-                size += len(r[6] or "")
-                if size > 4 << 20:
-                    yield _kept(out)
-                    out, size = [[], [], [], [], []], 0
-            if out[0]:
-                yield _kept(out)
+                out: list[list] = [[], [], [], []]
+                for text in pc.cast(d.column("text"), pa.large_binary()).to_pylist():
+                    words = (text or b"").split()
+                    starts = gone.get(place)
+                    place += 1
+                    spans: list[dict] = []
+                    kept = words
+                    if starts is not None:
+                        cover = np.zeros(len(words) + 1, np.int32)
+                        np.add.at(cover, starts, 1)
+                        np.add.at(cover, starts + window, -1)
+                        covered = np.cumsum(cover[:-1]) > 0
+                        spans = [{"start": s, "end": e} for s, e in zip(*(x.tolist() for x in runs(covered)))]
+                        kept = [w for w, c in zip(words, covered.tolist()) if not c]
+                    for column, value in zip(out, (len(words), spans, len(words) - len(kept), b" ".join(kept).decode())):
+                        column.append(value)
+                yield _kept(d.column("doc_id"), out)
 
     schema = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, n_removed long, kept string"
-    return arrow_map(by_block([texts_of(docs, n), small], n, mixed_order()), remove, schema)
+    return arrow_map(by_block([packs_of(docs, n), small], n, mixed_order()), remove, schema)
 
 
-def _kept(out: list[list]) -> pa.RecordBatch:
+def _kept(doc_ids: pa.Array, out: list[list]) -> pa.RecordBatch:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kinds = (pa.int64(), pa.int64(), span, pa.int64(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "n_words", "spans", "n_removed", "kept"])
+    kinds = (pa.int64(), span, pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([doc_ids, *(pa.array(c, t) for c, t in zip(out, kinds))], names=["doc_id", "n_words", "spans", "n_removed", "kept"])

@@ -21,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import Staged, arrow_map, block_count, by_block
-from .passes import DOC, doc_key, groups, mixed_order, pack_sorted, ranked, runs, small_rows, texts_of, unpack_sorted
-from .substrings import _BLOB, _blobs, _document_batches
+from .passes import DOC, doc_key, groups, mixed_order, pack_schema, pack_sorted, packs_of, ranked, runs, small_rows, squeezed, unpack_sorted, unpacked
+from .substrings import _BLOB, _blobs
 
 LENGTH, ANCHOR = 50, 20
 #: Cells for each block of documents, strings of a run at most, and different runs from which an anchor is split.
@@ -93,8 +95,8 @@ class _Block:
         self.size = 0
         self.parts: list[tuple] = []
 
-    def add(self, ids: list, texts: list) -> None:
-        data = [(t or "").encode() for t in texts]
+    def add(self, ids: list, texts: pa.Array) -> None:
+        data = [t or b"" for t in pc.cast(texts, pa.large_binary()).to_pylist()]
         held: list[bytes] = []
         first, n = 0, 0
         for i, d in enumerate(data):
@@ -257,14 +259,14 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
     n = block_count(docs)
     bits = max(10, (n * CELLS_PER_BLOCK - 1).bit_length())
     width = -(-(1 << bits) // n)
-    texts = texts_of(docs, n)
+    texts, layout = packs_of(docs, n), pack_schema(docs)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (block,), rows in groups(batches, 1):
             cells, kinds = [], []
-            for ids, text in _document_batches(rows):
+            for d in unpacked((r[4] for r in rows), layout):
                 held = _Block(length, anchor)
-                held.add(ids, text)
+                held.add(d.column("doc_id").to_pylist(), d.column("text"))
                 got = held.runs()
                 cells.append(_cells(got[4], bits))
                 kinds.append(got[5])
@@ -299,7 +301,7 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
     shared = Staged(arrow_map(by_block([sent], n, ["b"]), merge, _BLOB), "anchors")
 
     def settled(doc: np.ndarray, start: np.ndarray, count: np.ndarray, entry: np.ndarray) -> bytes:
-        return np.stack([doc, start, count, entry]).astype("<i4").tobytes()
+        return squeezed(np.stack([doc, start, count, entry]).astype("<i4").tobytes())
 
     def unlike(a: np.ndarray, b: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(group of each, one member of each group with the least key, least key of each group) by two hashes."""
@@ -318,12 +320,12 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
             def documents():
                 for r in rows:
                     if r[1] == DOC:
-                        yield r
+                        yield r[4]
                     else:
                         answers.append((r[3], r[4]))
 
-            for ids, text in _document_batches(documents()):
-                held.add(ids, text)
+            for d in unpacked(documents(), layout):
+                held.add(d.column("doc_id").to_pylist(), d.column("text"))
             doc, start, place, count, route, c1, c2 = held.runs()
             data = np.concatenate(held.bytes) if held.bytes else np.zeros(0, np.uint8)
             keys = np.array(held.keys, np.int64)[doc]
@@ -371,9 +373,9 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
                 at = np.searchsorted(((r >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32), np.arange(n + 1, dtype=np.uint64))
                 for s in np.flatnonzero(np.diff(at)).tolist():
                     i, j = at[s], at[s + 1]
-                    yield _blobs([(s, 0, block, _squeezed(np.uint32(j - i).tobytes() + r[i:j].tobytes() + key[i:j].tobytes() + size[i:j].astype("<u2").tobytes() + data[_stretches(p[i:j], size[i:j])].tobytes()))])
+                    yield _blobs([(s, 0, block, squeezed(np.uint32(j - i).tobytes() + r[i:j].tobytes() + key[i:j].tobytes() + size[i:j].astype("<u2").tobytes() + data[_stretches(p[i:j], size[i:j])].tobytes()))])
                 d, s, k, e = (np.concatenate(v) for v in zip(*wait))
-                yield _blobs([(block, 1, 0, np.concatenate(sure, axis=1).astype("<i4").tobytes()), (block, 2, 0, settled(d, s, k, rank[e])), (block, 3, 0, (size - length + 1).astype("<u2").tobytes())])
+                yield _blobs([(block, 1, 0, settled(*np.concatenate(sure, axis=1))), (block, 2, 0, settled(d, s, k, rank[e])), (block, 3, 0, squeezed((size - length + 1).astype("<u2").tobytes()))])
 
     found = arrow_map(by_block([texts, small_rows(shared.df, 0)], n, mixed_order()), entries, _BLOB)
 
@@ -402,41 +404,42 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
     return small_rows(out.df, 0), n
 
 
-def _squeezed(data: bytes) -> bytes:
-    return zstandard.compress(data, 1)
-
-
-def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: Column | None = None, whole: bool = False) -> DataFrame:
-    """Per document doc_id, n_bytes, spans (byte ranges removed: start, end), n_removed, kept (remaining bytes), and what ``carry`` gave.
+def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT, carry: list[str] | None = None, whole: bool = False) -> DataFrame:
+    """Per document doc_id, n_bytes, spans (byte ranges removed: start, end), n_removed, kept (remaining bytes), and ``row``: a
+    struct of the columns ``carry``, as they are, under the names c0, c1, ...
 
     A byte goes if a string of ``length`` bytes over it also starts in a document with a smaller doc_id; overlaps count, and
     strings are judged on the input. Rows with equal doc_ids do not remove each other's bytes; a null doc_id counts as smaller than
-    any other; null texts are empty; texts shorter than ``length`` keep all. Kept bytes may cut a character in two;
-    with ``whole``, what is left of such a character goes from ``kept`` too.
+    any other; null texts are empty; texts shorter than ``length`` keep all, and a text of any length is taken whole. Kept bytes may
+    cut a character in two; with ``whole``, what is left of such a character goes from ``kept`` too. Columns that are not carried are
+    ignored; an empty table gives no row.
     """
     if not 8 <= anchor <= length:
         raise ValueError("an anchor has 8 bytes at least, and no more than a string")
     small, n = removals(docs, length, anchor, hot)
+    layout = pack_schema(docs, carry)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_,), rows in groups(batches, 1):
-            sure = wait = np.zeros((4, 0), np.int32)
-            strings, bits = np.zeros(0, np.int64), []
-            gone: dict[int, np.ndarray] | None = None
-            place, size = 0, 0
-            out: list[list] = [[], [], [], [], [], []]
-            for r in rows:
-                if r[1] != DOC:
-                    if r[2] in (1, 2):
-                        got = np.frombuffer(r[4], "<i4").reshape(4, -1)
-                        sure, wait = (got, wait) if r[2] == 1 else (sure, got)
-                    elif r[2] == 3:
-                        strings = np.frombuffer(r[4], "<u2").astype(np.int64)
-                    else:
+            known = {1: np.zeros((4, 0), np.int32), 2: np.zeros((4, 0), np.int32), 3: np.zeros(0, np.int64)}
+            bits: list[np.ndarray] = []
+
+            def documents():
+                for r in rows:
+                    if r[1] == DOC:
+                        yield r[4]
+                    elif r[2] == 4:
                         m = int(np.frombuffer(r[4], "<u4", 1)[0])
                         bits.append(np.unpackbits(np.frombuffer(r[4], np.uint8, offset=4), count=m).view(bool))
-                    continue
+                    else:
+                        data = zstandard.decompress(r[4])
+                        known[r[2]] = np.frombuffer(data, "<u2").astype(np.int64) if r[2] == 3 else np.frombuffer(data, "<i4").reshape(4, -1)
+
+            gone: dict[int, np.ndarray] | None = None
+            place = 0
+            for b in unpacked(documents(), layout):
                 if gone is None:
+                    sure, wait, strings = known[1], known[2], known[3]
                     later = np.concatenate(bits) if bits else np.zeros(0, bool)
                     of_entry = np.cumsum(strings) - strings
                     where = _stretches(of_entry[wait[3]], wait[2]) if wait.shape[1] else np.zeros(0, np.int64)
@@ -446,35 +449,37 @@ def dedup_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot
                     order = np.argsort(d, kind="stable")
                     names, at = np.unique(d[order], return_index=True)
                     gone = dict(zip(names.tolist(), np.split(s[order], at[1:]))) if len(names) else {}
-                data = (r[6] or "").encode()
-                starts = gone.get(place)
-                place += 1
-                spans: list[dict] = []
-                kept, left = data, len(data)
-                if starts is not None:
-                    cover = np.zeros(len(data) + 1, np.int32)
-                    np.add.at(cover, starts, 1)
-                    np.add.at(cover, starts + length, -1)
-                    covered = np.cumsum(cover[:-1]) > 0
-                    spans = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(covered)))]
-                    kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
-                    left = len(kept)
-                    if whole:
-                        kept = kept.decode("utf-8", "ignore").encode()
-                for column, value in zip(out, (r[5], len(data), spans, len(data) - left, kept, r[4])):
-                    column.append(value)
-                size += len(data)
-                if size > 4 << 20:
-                    yield _kept(out)
-                    out, size = [[], [], [], [], [], []], 0
-            if out[0]:
-                yield _kept(out)
-
-    schema = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, n_removed long, kept binary, carry binary"
-    return arrow_map(by_block([texts_of(docs, n, carry), small], n, mixed_order()), remove, schema)
-
-
-def _kept(out: list[list]) -> pa.RecordBatch:
+                out: list[list] = [[], [], [], []]
+                for text in pc.cast(b.column("text"), pa.large_binary()).to_pylist():
+                    data = text or b""
+                    starts = gone.get(place)
+                    place += 1
+                    spans: list[dict] = []
+                    kept, left = data, len(data)
+                    if starts is not None:
+                        cover = np.zeros(len(data) + 1, np.int32)
+                        np.add.at(cover, starts, 1)
+                        np.add.at(cover, starts + length, -1)
+                        covered = np.cumsum(cover[:-1]) > 0
+                        spans = [{"start": a, "end": b} for a, b in zip(*(x.tolist() for x in runs(covered)))]
+                        kept = np.frombuffer(data, np.uint8)[~covered].tobytes()
+                        left = len(kept)
+                        if whole:
+                            kept = kept.decode("utf-8", "ignore").encode()
+                    for column, value in zip(out, (len(data), spans, len(data) - left, kept)):
+                        column.append(value)
+                yield _kept(b, out)
+
+    span = StructType([StructField("start", LongType()), StructField("end", LongType())])
+    schema = StructType([StructField("doc_id", LongType()), StructField("n_bytes", LongType()), StructField("spans", ArrayType(span)), StructField("n_removed", LongType()), StructField("kept", BinaryType())])
+    if carry:
+        schema.add("row", StructType([StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]))
+    return arrow_map(by_block([packs_of(docs, n, carry), small], n, mixed_order()), remove, schema)
+
+
+def _kept(b: pa.RecordBatch, out: list[list]) -> pa.RecordBatch:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kinds = (pa.int64(), pa.int64(), span, pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["doc_id", "n_bytes", "spans", "n_removed", "kept", "carry"])
+    kinds = (pa.int64(), span, pa.int64(), pa.binary())
+    found = [b.column("doc_id"), *(pa.array(c, t) for c, t in zip(out, kinds))]
+    row = [b.column("row")] if "row" in b.schema.names else []
+    return pa.RecordBatch.from_arrays(found + row, names=["doc_id", "n_bytes", "spans", "n_removed", "kept", *["row"] * len(row)])
