@@ -32,12 +32,15 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the bytes that a document of smaller doc_id has already; half a character left at a cut goes too."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    row = docs.select(*others).schema
-    found = suffixes.dedup_bytes(docs, carry=F.to_json(F.struct(*others), {"ignoreNullFields": "true"}).cast("binary"), whole=True)
-    back = found.select("doc_id", F.col("kept").cast("string").alias("text"), F.from_json(F.col("carry").cast("string"), row).alias("row")).withColumn("n_chars", F.length("text").cast("long"))
-    return back.select(*(F.col("row")[c].alias(c) if c in others else F.col(c) for c in docs.columns))
+    """All documents, without the bytes that a document of smaller doc_id has already; half a character left at a cut goes too.
+
+    Null texts become empty, repeated rows stay, other columns pass unchanged; an empty table stays empty.
+    """
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    found = suffixes.dedup_bytes(docs, carry=others, whole=True)
+    made = {c: F.col("row")[f"c{i}"] for i, c in enumerate(others)} | {"text": F.col("kept").cast("string")}
+    made["n_chars"] = F.length(made["text"]).cast("long")
+    return found.select(*(made[c].alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
