@@ -55,7 +55,7 @@ def test_stages_are_named_in_order():
 def test_language_stage(spark, docs, rows):
     model = langid.fit(docs)
     said = [model.predict([t])[0] for _, t, *_ in rows]
-    want = [r for r, (lang, p) in zip(rows, said) if lang != "und" and p >= pipeline.LEAST_SCORE]
+    want = [(*r[:2], lang, *r[3:]) for r, (lang, p) in zip(rows, said) if lang != "und" and p >= pipeline.LEAST_SCORE]
     found = pipeline.language_id(spark, docs, "")
     assert found.columns == docs.columns and ordered(found.collect()) == ordered(want)
     assert not {400, 401, 402} & {r[0] for r in want} and len(want) > 100
@@ -73,6 +73,7 @@ def test_quality_stage(spark, docs, rows):
 
 
 def brute_keep(rows):
+    """By distances of all pairs: no segments, no buckets."""
     n = simhash.NEAR
     prints = np.array([simhash.majority(simhash.shingle_digests(t or "", n["words"]), n["signatures"]) for _, t, *_ in rows], np.uint64)
     parent = list(range(len(rows)))
@@ -83,11 +84,8 @@ def brute_keep(rows):
         return x
 
     for a in range(len(rows)):
-        for b in range(a):
-            d = prints[a] ^ prints[b]
-            segments = [(int(d[w]) >> s & ((1 << k) - 1)).bit_count() for w, s, k in n["segments"]]
-            if np.bitwise_count(d).sum() <= n["distance"] and min(segments) <= 1:
-                parent[find(a)] = find(b)
+        for b in np.flatnonzero(np.bitwise_count(prints[:a] ^ prints[a]).sum(axis=1) <= n["distance"]).tolist():
+            parent[find(a)] = find(b)
     least = {}
     for i, (d, *_) in enumerate(rows):
         if d is not None:
@@ -103,19 +101,54 @@ def test_near_dedup_stage(spark, docs, rows):
     assert long_copies and not set(long_copies) & {d for d, _ in want}
 
 
-def test_near_dedup_finds_lone_pairs_at_the_full_distance(spark, monkeypatch):
+def bits_table(spark, prints):
+    rows = [(i, i, *(x - (1 << 64) if x >> 63 else x for x in (b >> 64 * k & (1 << 64) - 1 for k in range(3)))) for i, b in prints]
+    return spark.createDataFrame(rows, "doc_id long, h long, w0 long, w1 long, w2 long")
+
+
+def test_near_dedup_finds_lone_pairs(spark, monkeypatch):
     r = random.Random(4)
-    n, pairs = simhash.NEAR, 600
-    rows = []
-    for i in range(pairs):
-        bits = r.getrandbits(192)
-        rows += [(2 * i, bits), (2 * i + 1, bits ^ sum(1 << b for b in r.sample(range(192), n["distance"])))]
-    prints = [(i, *(x - (1 << 64) if x >> 63 else x for x in (b >> 64 * k & (1 << 64) - 1 for k in range(3)))) for i, b in rows]
+    n, pairs = simhash.NEAR, 300
     monkeypatch.setattr(simhash, "fingerprints", lambda docs, *a: docs)
-    table = spark.createDataFrame(prints, "doc_id long, w0 long, w1 long, w2 long")
-    found = {x["doc_id"]: x["component_id"] for x in simhash.near_groups(table, **n).collect()}
-    linked = sum(found[2 * i + 1] == 2 * i for i in range(pairs))
-    assert linked >= 0.975 * pairs and len(set(found.values())) == 2 * pairs - linked
+    for distance, least in ((19, 1.0), (29, 0.99), (33, 0.96), (n["distance"], 0.9)):
+        prints = []
+        for i in range(pairs):
+            bits = r.getrandbits(192)
+            prints += [(2 * i, bits), (2 * i + 1, bits ^ sum(1 << b for b in r.sample(range(192), distance)))]
+        found = {x["doc_id"]: x["component_id"] for x in simhash.near_groups(bits_table(spark, prints), **n).collect()}
+        linked = sum(found[2 * i + 1] == 2 * i for i in range(pairs))
+        assert linked >= least * pairs and len(set(found.values())) == 2 * pairs - linked
+        assert simhash.cut_recall(distance, *n["cuts"], 3, 4000) >= least
+
+
+def test_full_buckets_are_split_without_loss(spark, monkeypatch):
+    r = random.Random(5)
+    base = r.getrandbits(192)
+    prints = [(i, base ^ sum(1 << b for b in r.sample(range(192), r.randint(1, 9)))) for i in range(60)] + [(100 + i, r.getrandbits(192)) for i in range(20)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *a: docs)
+    monkeypatch.setattr(simhash, "BUCKET", 4)
+    found = {x["doc_id"]: x["component_id"] for x in simhash.near_groups(bits_table(spark, prints), **simhash.NEAR).collect()}
+    assert found == {i: 0 if i < 100 else i for i, _ in prints}
+
+
+def test_stages_carry_clashing_and_odd_columns(spark, docs, rows):
+    from pyspark.sql import functions as F
+
+    wide = docs.withColumn("keep_id", F.lit(1)).withColumn("a.b", F.timestamp_micros(F.lit(1700000000123457))).withColumn("row", F.array(F.lit("x"))).withColumn("w0", F.lit(2)).withColumn("node", F.lit(None).cast("string"))
+    seen = {r["a.b"] for r in wide.limit(1).collect()}
+    for name, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, wide, "")
+        assert found.schema.simpleString() == wide.schema.simpleString(), name
+        assert ordered(found.select(docs.columns).collect()) == ordered(stage(spark, docs, "").collect()), name
+        assert {(r["keep_id"], r["a.b"], *r["row"], r["w0"], r["node"]) for r in found.collect()} == {(1, *seen, "x", 2, None)}, name
+    assert pipeline.pack(spark, wide, "").count() == pipeline.pack(spark, docs, "").count()
+
+
+def test_rows_without_id_follow_the_group_they_are_in(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(7, text), (None, text), (None, text + " more"), (None, "alone " * 3 + "quite another text"), (None, "alone " * 3 + "quite another text"), (8, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], COLUMNS)
+    assert sorted(((r["doc_id"], r["text"]) for r in pipeline.simhash_near_dedup(spark, docs, "").collect()), key=repr) == sorted([(7, text), (None, "alone " * 3 + "quite another text"), (8, None)], key=repr)
 
 
 def test_suffix_stage(spark, docs, rows):

@@ -24,6 +24,8 @@ from pyspark.sql.types import StructType
 #: Bytes of text that one block of documents should hold, unless the session sets BLOCK_CONF. Messages between blocks grow with the
 #: square of their number, as segments of a shuffle do: executors with more memory should be given larger blocks.
 BLOCK_BYTES, BLOCK_CONF = 24 << 20, "spark.tidewright.blockBytes"
+#: Hot keys for each shuffle partition that a join may broadcast.
+SHARE = 8
 #: Rows of text in an Arrow batch; batches are further cut by bytes in Python.
 TEXT_ROWS = 512
 #: A null doc_id sorts before every other.
@@ -144,6 +146,35 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:
+    """left joined to right, which has one row for each key and in ``n`` how many rows of left have it; without ``n``.
+
+    Keys with more than a small share of all rows go by broadcast: at most SHARE for each shuffle partition can have so many. The
+    others are joined by a shuffle, in which no key fills a task.
+    """
+    spark = left.sparkSession
+    total, most = right.agg(F.sum(n), F.max(n)).first()
+    limit = (total or 0) // (SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))) + 1
+    if (most or 0) <= limit:
+        return left.join(right.drop(n), key)
+    hot, rest = F.broadcast(right.where(F.col(n) > limit).drop(n)), right.where(F.col(n) <= limit).drop(n)
+    return left.join(hot, key).unionByName(left.join(hot.select(key), key, "left_anti").join(rest, key))
+
+
+def folded(docs: DataFrame) -> DataFrame:
+    """All columns in one struct ``row``, whatever their names."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def unfolded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    row = batch.column("row")
+    return pa.RecordBatch.from_arrays(row.flatten(), names=[f.name for f in row.type])
+
+
+def refolded(batch: pa.RecordBatch) -> pa.StructArray:
+    return pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+
+
 def columns(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns only, so that extra columns of any name cannot clash with ours."""
     kinds = {"doc_id": "long", "n_chars": "long", "page_id": "long"}

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Staged
+from .common import Staged, join_hot
 
 
 def _large(e: DataFrame) -> DataFrame:
     """Every larger neighbour of u is tied to the smallest node that u sees."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n"))
+    return join_hot(both.where("v > u"), least, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small(e: DataFrame) -> DataFrame:
     """Every smaller neighbour of u, and u, are tied to the smallest of them."""
-    least = e.groupBy("u").agg(F.min("v").alias("m"))
-    others = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    others = join_hot(e, least, "u", "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionByName(least.select("u", F.col("m").alias("v")))
 
 

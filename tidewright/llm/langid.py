@@ -15,8 +15,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import arrow_map, columns, cut
+from .common import arrow_map, columns, cut, folded, refolded, unfolded
 
 #: Bytes of a window, filter widths, filters of each width.
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 12
@@ -183,7 +184,9 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, windows_per_doc: in
                             out[2].append(w[i].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.binary())], names=["doc_id", "lang", "window"])
 
-    sample = sorted(arrow_map(picked, spread, "doc_id long, lang string, window binary").limit(4 * docs_per_lang * windows_per_doc * max(1, len(labels)) // 3).collect(), key=lambda r: (r["lang"], r["window"]))
+    most = 4 * docs_per_lang * windows_per_doc * max(1, len(labels)) // 3
+    spreads = arrow_map(picked, spread, "doc_id long, lang string, window binary").select("lang", "window")
+    sample = sorted(spreads.orderBy(F.xxhash64("lang", "window"), "window").limit(most).collect(), key=lambda r: (r["lang"], r["window"]))  # the same in every run
     if not sample:
         return None
     windows = np.frombuffer(b"".join(r["window"] for r in sample), np.uint8).reshape(-1, WINDOW)
@@ -195,7 +198,7 @@ def identify(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
     """Per document doc_id, held_out, lang_pred and score over its whole text, whatever its length.
 
     ``und`` with score 0 stands for null texts, texts without a letter, and every text where there was nothing to learn
-    from. Only the text is read. Repeated rows and null ids stay rows of their own; there is no shuffle.
+    from. Only the text is read. Repeated rows and null ids stay rows of their own; an empty table gives no row; there is no shuffle.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred kB, whatever the input
 
@@ -210,15 +213,22 @@ def identify(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, model: ByteCNN | None, least: float) -> DataFrame:
-    """The documents, all columns, whose language is known with a score of ``least`` or more; without a model, all of them."""
+    """The documents, all columns, whose language is known with a score of ``least`` or more, and in ``lang`` the language predicted.
+
+    Without a model all documents stay as they are. Null texts and texts without a letter go; texts of any length are taken whole;
+    repeated rows and null ids are rows like others, and an empty table stays empty.
+    """
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in cut(whole, "text"):
+            for b in cut(unfolded(whole), "text"):
                 got = shared.value.predict(b.column("text").to_pylist())
-                yield b.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in got], pa.bool_()))
+                if "lang" in b.schema.names:
+                    b = b.set_column(b.schema.names.index("lang"), "lang", pa.array([lang for lang, _ in got], pa.string()))
+                b = b.filter(pa.array([lang != UNKNOWN and p >= least for lang, p in got], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([refolded(b)], names=["row"])
 
-    return arrow_map(docs, run, docs.schema)
+    return arrow_map(folded(docs), run, StructType([StructField("row", docs.schema)])).select("row.*")
