@@ -34,7 +34,7 @@ LENGTH, ANCHOR = 50, 20
 #: Cells for each block of documents, strings of a run at most, and different runs from which an anchor is split.
 CELLS_PER_BLOCK, RUN, HOT = 1 << 25, 64, 4096
 #: Suffixes that a shard sorts at once, and bytes that a block hashes at once.
-SORTED, SLICE = 1 << 21, 1 << 20
+SORTED, SLICE = 1 << 21, 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _LETTER = tuple(np.random.default_rng(s).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for s in (5, 6))
 _powers: dict = {}

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Entries that a worker keeps of encoded units; a full memo is emptied, which costs time only.
-MEMO = 1_000_000
+MEMO = 400_000
 #: Bytes of text that are cut at once.
 SLICE = 4 << 20
 
