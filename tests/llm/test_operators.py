@@ -420,8 +420,68 @@ def test_style_tree_drops_what_a_site_repeats(spark):
     assert out[3] == "own 3\nmore 21" and out[50] == "" and out[51] == "alone"
 
 
+def brute_importances(pages):
+    """By the definition, a host's pages in one dictionary and nodes by recursion from the root."""
+    m, looks, texts, children = {}, {}, {}, {}
+    for page in pages:
+        blocks, shape = html.parse(page)
+        for path, (parent, _, steps) in shape.items():
+            m[path] = m.get(path, 0) + 1
+            looks.setdefault(path, {})[steps] = looks.get(path, {}).get(steps, 0) + 1
+            children.setdefault(parent, set()).add(path)
+        for path, text in {(b.path, b.text) for b in blocks if b.path in shape}:
+            texts.setdefault(path, {})[text] = texts.get(path, {}).get(text, 0) + 1
+
+    out = {}
+
+    def visit(path):  # (importance, texts in the branch)
+        below = [visit(c) for c in children.get(path, ())]
+        n, doubt = m[path], (m[path] - 1) / (m[path] + html.DOUBT)
+        entropy = sum(-x / n * np.log(x / n) for x in looks[path].values()) / np.log(n) if n > 1 else 0
+        look = 1 - doubt * (1 - entropy) if n > 1 else 1.0
+        own = texts.get(path, {})
+        say = 1 - doubt * sum(np.log(c) / np.log(n) for c in own.values()) / len(own) if own and n > 1 else 1.0
+        weight = sum(w for _, w in below)
+        fade = html.DECAY ** len(looks[path])
+        inner = (1 - fade) * look + fade * sum(i * w for i, w in below) / weight if weight else look
+        value = (say * len(own) + inner * weight) / (weight + len(own)) if own else inner
+        out[path] = value
+        return value, weight + len(own)
+
+    for top in children.get(0, ()):
+        visit(top)
+    return out
+
+
+def test_style_tree_against_brute_force(spark):
+    r = random.Random(2)
+    pages = [f"<body><div class='top'><b>Site</b><ul><li>{r.choice('ab')}<li>c</ul></div><div id='m{i}'><h1>title {i}</h1>{''.join(f'<p>own {r.random()}</p>' for _ in range(r.randint(1, 4)))}{'<table><tr><td>x</table>' if i % 3 else ''}</div><div class='end'><div><p>same</p><p>{r.choice(['u', 'v'])}</p></div></div>" for i in range(9)]
+    rows = [(i, "http://a.example/", p) for i, p in enumerate(pages)] + [(90, "http://b.example/", pages[0]), (91, "http://c.example/", None), (92, "http://d.example/", "plain"), (93, "http://a.example/x", pages[3])]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {(x["host"], x["path"]): x["importance"] for x in html.importances(table).collect()}
+    want = {("a.example", k): v for k, v in brute_importances([*pages, pages[3]]).items()} | {("b.example", k): v for k, v in brute_importances(pages[:1]).items()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_a_branch_goes_whose_text_lies_deep(spark):
+    same = "<div class='x'><div class='y'><div class='z'><p>always the same</p></div></div></div>"
+    rows = [(i, "http://deep.example/", f"<body>{same}<div class='t'><p>own words {i}</p><p>and {i * 31}</p></div>") for i in range(40)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {x["text"] for x in html.extract(table).collect()} == {f"own words {i}\nand {i * 31}" for i in range(40)}
+    assert html.extract(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("part", ["<a '", '<a ">" ', "<ul>", "<!x", "<div class='x'>", "<p>x</q>", "<script>", "<", "<li>a", "<p>a<i class=q>x"])
+def test_bad_markup_takes_linear_time(part):
+    import time
+
+    began = time.process_time()
+    html.main_text(part * (2_000_000 // len(part)))
+    assert time.process_time() - began < 10
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     spec = tokenizer_spec()
-    made = [bpe.encode_decode(none, spec), packing.pack_documents(none, spec, END_ID), token_files.read_token_files(token_files.write_token_files(none, spec, VOCABULARY, END_ID).df), substrings.dedup_windows(none), suffixes.dedup_bytes(none), simhash.near_groups(none), fingerprint.edited_versions(none), perplexity.quality(none)]
+    made = [bpe.encode_decode(none, spec), packing.pack_documents(none, spec, END_ID), token_files.read_token_files(token_files.write_token_files(none, spec, VOCABULARY, END_ID).df), substrings.dedup_windows(none), suffixes.dedup_bytes(none), simhash.near_groups(none), fingerprint.edited_versions(none), perplexity.quality(none), langid.identify(none, langid.fit(none)), bpe.encode_decode(none, spec)]
     assert [m.count() for m in made] == [0] * len(made)
