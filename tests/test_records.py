@@ -62,6 +62,24 @@ def test_repair_narrows_failures(spark):
     assert done[2]["status"] == "CLEAN" and done[2]["clean"]["first_name"] == "Zoe" and done[2]["extras"] == {"note": "x"}
 
 
+def test_keys_that_repair_adds_reach_the_outputs(spark):
+    class Adds:
+        def resolve(self, prompts):
+            return ['{"first": "Zoe", "note": "x"}' for _ in prompts]
+
+    done = pipeline.records(table(spark, [("bad2", "J0e", "Stone", "2023-01-01", None)]), types=TYPES, resolver=Adds())
+    final, _ = pipeline.outputs(done)
+    assert [r["note"] for r in final.collect()] == ["x"]
+
+
+def test_a_hot_key_has_one_keeper(spark):
+    rows = [(f"n/a", "Ann", "Lee Roy", f"2023-01-{1 + i % 28:02d}", None) for i in range(200)]
+    done = dedup.enrich(dedup.mark(clean(table(spark, rows), TYPES)))
+    got = done.groupBy("is_duplicate").count().collect()
+    assert {r["is_duplicate"]: r["count"] for r in got} == {False: 1, True: 199}
+    assert done.select("duplicate_of").distinct().count() == 2
+
+
 def test_reply_forms(spark):
     cases = {'{"a": 1}': "OBJECT", "NOT JSON": "INVALID_FORMAT", "null": "INVALID_FORMAT", "[]": "INVALID_FORMAT", '```json\n{"a": 1}\n```': "OBJECT", "```json\n{bad}\n``` {}": "INVALID_FORMAT"}
     df = spark.createDataFrame([(c,) for c in cases], "x string")
@@ -125,10 +143,10 @@ def test_docx(spark, tmp_path):
 
 
 def test_file_gate(spark):
-    rows = [("/a.csv", b"a,b\n1,2\n"), ("/b.csv", b"x\x00"), ("/c.exe", b"a"), ("/d.txt", b"a"), ("/e.csv", b"MZ\x00"), ("/f.csv", b"=cmd|x"), ("/g.db", b"nope"), ("/h.docx", b"PK\x03\x04zz")]
+    rows = [("/a.csv", b"a,b\n1,2\n"), ("/b.csv", b"x\x00"), ("/c.exe", b"a"), ("/d.txt", b"a"), ("/e.csv", b"MZ\x00"), ("/f.csv", b"=cmd|x"), ("/g.db", b"nope"), ("/h.docx", b"PK\x03\x04zz"), ("/i.csv", "é".encode() * 4095 + b"ab" + "é".encode() * 9 + b"\xff"), ("/j.csv", b"x\xffy")]
     files = spark.createDataFrame([(p, len(c), bytearray(c)) for p, c in rows], "path string, length long, content binary")
     got = {r["path"]: r["verdict"].split(":")[0] for r in security.verdicts(files).collect()}
-    assert got == {"/a.csv": "OK", "/b.csv": "INVALID_FILE_SIGNATURE", "/c.exe": "HAZARDOUS_FILE_DETECTED", "/d.txt": "UNSUPPORTED_FILE_TYPE", "/e.csv": "INVALID_FILE_SIGNATURE", "/f.csv": "DANGEROUS_PATTERN_DETECTED", "/g.db": "INVALID_FILE_SIGNATURE", "/h.docx": "INVALID_DOCX"}
+    assert got == {"/a.csv": "OK", "/b.csv": "INVALID_FILE_SIGNATURE", "/c.exe": "HAZARDOUS_FILE_DETECTED", "/d.txt": "UNSUPPORTED_FILE_TYPE", "/e.csv": "INVALID_FILE_SIGNATURE", "/f.csv": "DANGEROUS_PATTERN_DETECTED", "/g.db": "INVALID_FILE_SIGNATURE", "/h.docx": "INVALID_DOCX", "/i.csv": "OK", "/j.csv": "INVALID_FILE_SIGNATURE"}
 
 
 def test_generated_run(spark, tmp_path):
@@ -137,4 +155,5 @@ def test_generated_run(spark, tmp_path):
     assert result.done.count() == 55
     assert tables.latest_run(spark, str(tmp_path / "out")) == "t"
     seen = report.analyze(spark, str(tmp_path / "out"), "t")
+    assert seen["rejected"] and report.analyze(spark, str(tmp_path), "none") is None
     assert seen["rows"] == result.final.count() and seen["columns"][0] == "row_id"

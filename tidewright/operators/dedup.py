@@ -1,7 +1,8 @@
 """Duplicate records by key fingerprint, with survivorship: the first record in input order keeps, and learns from its duplicates.
 
-Everything is aggregation: map-side minima and maxima combine before the shuffle, so a hot key (placeholders make some) costs no
-more than its tasks' partial rows; no group is ever sorted or collected in one task.
+Groups are aggregated: map-side minima and maxima combine before the shuffle, so a hot key (placeholders make some) costs no
+more than its tasks' partial rows. Their results go back to the records by a join on the key and a salt: the records of a hot key
+are dealt to SALTS tasks, and only keys with more than one record are on the other side, once for each salt.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from ..config import Config
 from ..functions.text import let, strip
 from .clean import LINE, fields_of
 
+#: Tasks that the records of one key are dealt to.
+SALTS = 16
 _LABELS = {"email_only": "email", "phone_only": "phone"}
 
 
@@ -55,15 +58,22 @@ def record_date(df: DataFrame) -> Column:
     return F.coalesce(*dates) if dates else F.lit(None).cast("date")
 
 
+def _salted(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """df with the columns of ``groups``, a row for each fingerprint that has one; null for others."""
+    salt = F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int")
+    each = groups.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("__salt", salt).join(each, ["fingerprint", "__salt"], "left").drop("__salt")
+
+
 def mark(df: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Adds fingerprint, is_duplicate and duplicate_of (the keeper's row_id)."""
     if not cfg.dedup or cfg.strategy == "disabled":
         return df.withColumns({"fingerprint": F.lit(None).cast("string"), "is_duplicate": F.lit(False), "duplicate_of": F.lit(None).cast("string")})
     # never null, and known to be: else a join would push the whole expression down into a filter once more
     keyed = df.withColumn("fingerprint", F.coalesce(F.sha2(key(df, cfg), 256), F.lit("")))
-    first = keyed.groupBy("fingerprint").agg(F.min(F.struct(LINE, "row_id")).alias("first"))
-    joined = keyed.join(first, "fingerprint")
-    again = F.col("row_id") != F.col("first.row_id")
+    first = keyed.groupBy("fingerprint").agg(F.min(F.struct(LINE, "row_id")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = _salted(keyed, first).select(*keyed.columns, "first")
+    again = F.coalesce(F.col("row_id") != F.col("first.row_id"), F.lit(False))
     return joined.withColumns({"is_duplicate": again, "duplicate_of": F.when(again, F.col("first.row_id"))}).drop("first")
 
 
@@ -92,15 +102,16 @@ def enrich(df: DataFrame, cfg: Config = Config()) -> DataFrame:
 
     firsts = [F.min(F.when(F.col("is_duplicate"), said(n))).alias(f"f{i}") for i, n in enumerate(names)]
     lasts = [F.max(F.when(F.col("is_duplicate"), said(n, True))).alias(f"u{i}") for i, n in enumerate(mutable)]
-    by_date = df.withColumn("__date", record_date(df)).groupBy("fingerprint", "__date").agg(*firsts, *lasts, F.max(~F.col("is_duplicate")).alias("own"))
-    found = by_date.groupBy(F.col("fingerprint").alias("fp")).agg(
+    by_date = df.withColumn("__date", record_date(df)).groupBy("fingerprint", "__date").agg(*firsts, *lasts, F.max(~F.col("is_duplicate")).alias("own"), F.max("is_duplicate").alias("others"))
+    found = by_date.groupBy("fingerprint").agg(
         *(F.min(f"f{i}").alias(f"f{i}") for i in range(len(names))),
+        F.max("others").alias("others"),
         F.max(F.when(F.col("own"), F.col("__date"))).alias("owner_date"),
         F.collect_list(F.when(F.col("__date").isNotNull(), F.struct(F.col("__date").alias("date"), *(F.col(f"u{i}") for i in range(len(mutable)))))).alias("dates"),
     )
     newer = F.filter("dates", lambda d: d["date"] > F.col("owner_date"))
     last = lambda i: F.array_max(F.transform(newer, lambda d: d[f"u{i}"]))
-    found = found.select("fp", *(f"f{i}" for i in range(len(names))), *(last(i).alias(f"u{i}") for i in range(len(mutable))))
+    found = found.where("others").select("fingerprint", *(f"f{i}" for i in range(len(names))), *(last(i).alias(f"u{i}") for i in range(len(mutable))))
     out = []
     for i, n in enumerate(names):
         c = F.col("clean")[n]
@@ -108,5 +119,5 @@ def enrich(df: DataFrame, cfg: Config = Config()) -> DataFrame:
         update = [F.col(f"u{mutable.index(n)}")["v"]] if n in mutable else []
         got = F.coalesce(*update, own, F.col(f"f{i}")["v"], c)
         out.append(F.when(F.col("is_duplicate"), c).otherwise(got).alias(n))
-    joined = df.join(found, df.fingerprint == found.fp, "left")
+    joined = _salted(df, found)
     return joined.withColumn("clean", let(F.struct(*out), lambda x: x)).select(*df.columns)

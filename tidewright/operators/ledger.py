@@ -62,10 +62,11 @@ def audit(df: DataFrame) -> DataFrame:
     def event(rows: DataFrame, phase: str, action: str, reason: Column = none, confidence: Column = none, before: Column = none) -> DataFrame:
         return rows.select("run_id", "row_id", F.lit(phase).alias("phase"), F.lit(action).alias("action"), before.alias("before"), none.alias("after"), reason.alias("reason"), confidence.cast("string").alias("confidence"))
 
+    resolved = (F.col("status") == "CLEAN") & (F.col("extras").isNotNull() if "extras" in df.columns else F.lit(False))  # repair gives a map, or null
     parts = [
         event(df, "PHASE_1", "ROW_PROCESSED"),
         event(df.where("is_duplicate"), "PHASE_1", "DUPLICATE_DETECTED", F.concat(F.lit("duplicate of "), F.col("duplicate_of")), before=F.col("fingerprint")),
-        event(df.where((F.col("status") == "CLEAN") & (F.col("confidence_score") == 0.8)), "PHASE_2", "ROW_RESOLVED", confidence=F.col("confidence_score")),
+        event(df.where(resolved), "PHASE_2", "ROW_RESOLVED", confidence=F.col("confidence_score")),
         event(df.where(F.col("failure_reason") == "EMPTY_NAME"), "PHASE_3", "EMPTY_NAME_REJECTION"),
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

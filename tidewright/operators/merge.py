@@ -60,12 +60,20 @@ def ordered(names: list[str]) -> list[str]:
     return first + sorted(n for n in rest if not n.startswith("raw_")) + sorted(n for n in rest if n.startswith("raw_"))
 
 
-def flatten(df: DataFrame, full: bool = False) -> DataFrame:
-    """Columns of the output file, rows in input order kept by _line_number: the id and clean values, or (``full``) all there is."""
+def extra_keys(df: DataFrame) -> list[str]:
+    """Keys that repair added to any record, by one aggregation; they become columns of the outputs."""
+    if "extras" not in df.columns:
+        return []
+    return sorted(r["k"] for r in df.select(F.explode(F.map_keys("extras")).alias("k")).distinct().collect())
+
+
+def flatten(df: DataFrame, full: bool = False, extras: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Columns of the output file, rows in input order kept by _line_number: the id, clean values and ``extras``, or (``full``) all there is."""
     meta = ["row_id", "run_id", "status", "confidence_score", "failure_reason"] if full else ["row_id"]
     cols: dict[str, Column] = {m: F.col(m) for m in meta}
     for n in fields_of(df, "clean"):
         cols[f"{n}_original" if n in values.RESERVED else n] = F.col("clean")[n]
+    cols |= {n: F.col("extras")[n] for n in extras if n not in cols and n != LINE}
     if full:
         cols |= {f"raw_{n}": F.col("raw")[n] for n in fields_of(df, "raw")}
     for n in [c for c in cols if c.endswith("_original")]:

@@ -65,14 +65,16 @@ def verdicts(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     ext = F.lower(F.regexp_extract("path", r"(\.[^./]+)$", 1))
     magic = reduce(lambda w, s: w.when(ext == s[0], F.substring(content, 1, len(s[1])) == F.lit(s[1])), [*values.SIGNATURES.items()], F.when(F.lit(False), F.lit(False)))
     head = F.substring(content, 1, 8192)
-    text = F.expr("try_validate_utf8(cast(content as string))")
+    # as a reader of the first 8 KiB sees it: what comes later, and a character cut at the end, is not judged
+    valid = reduce(lambda a, b: a | b, (F.is_valid_utf8(F.substring(content, 1, 8192 - k).cast("string")) for k in range(4)))
+    text = F.make_valid_utf8(content.cast("string"))
     zipped = _zip_verdict(F.when(ext == ".docx", content))
     known = F.col("sha256").isin(*cfg.malicious_hashes) if cfg.malicious_hashes else F.lit(False)
     verdict = (
         F.when(F.col("length") > cfg.max_file_bytes, "FILE_SIZE_EXCEEDED")
         .when(ext.isin(values.HAZARDOUS_EXTENSIONS), "HAZARDOUS_FILE_DETECTED")
         .when(~ext.isin(values.ALLOWED_EXTENSIONS), "UNSUPPORTED_FILE_TYPE")
-        .when((ext == ".csv") & (F.contains(head, F.lit(b"\x00")) | text.isNull()), "INVALID_FILE_SIGNATURE")
+        .when((ext == ".csv") & (F.contains(head, F.lit(b"\x00")) | ~valid), "INVALID_FILE_SIGNATURE")
         .when(~F.coalesce(magic, F.lit(True)), "INVALID_FILE_SIGNATURE")
         .when(first_byte_pattern(content).isNotNull(), F.concat(F.lit("MALWARE_PATTERN_DETECTED: "), first_byte_pattern(content)))
         .when((ext == ".csv") & first_text_pattern(text).isNotNull(), F.concat(F.lit("DANGEROUS_PATTERN_DETECTED: "), first_text_pattern(text)))

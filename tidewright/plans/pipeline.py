@@ -42,7 +42,8 @@ def settled(df: DataFrame) -> DataFrame:
 
 def outputs(done: DataFrame, cfg: Config = Config()) -> tuple[DataFrame, DataFrame]:
     """The final and the rejected table, flat and in their column order, before pruning."""
-    return merge.flatten(done.where(F.col("status") == "CLEAN")), merge.flatten(done.where(F.col("status") == "REJECTED"), full=True)
+    extras = merge.extra_keys(done) if cfg.preserve_all_fields else []
+    return merge.flatten(done.where(F.col("status") == "CLEAN"), extras=extras), merge.flatten(done.where(F.col("status") == "REJECTED"), full=True, extras=extras)
 
 
 @dataclass
