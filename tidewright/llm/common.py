@@ -10,6 +10,7 @@ while their number grows.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import math
 import tempfile
 import uuid
@@ -141,9 +142,23 @@ def by_block(parts: list[DataFrame], n: int, order: list[str]) -> DataFrame:
     return rows.repartitionById(n, F.col("block")).sortWithinPartitions("block", *order)
 
 
+def give_back() -> None:
+    """Return to the system what a Python worker has freed: it lives on, and runs tasks of other kinds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     text_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def join_hot(left: DataFrame, right: DataFrame, key: str, n: str) -> DataFrame:

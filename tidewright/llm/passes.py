@@ -42,7 +42,6 @@ def packs_of(docs: DataFrame, n: int, carry: list[str] | None = None) -> DataFra
                 part = pa.array(out[i : i + 64], pa.binary())
                 zero = pa.array(np.zeros(len(part), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(block[order][at[i : i + 64]], pa.int32()), pa.array(np.full(len(part), DOC, np.int32)), zero, zero, part], schema=_MIXED)
-        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return arrow_map(rows.select(block_of(n, "doc_id", "text").alias("block"), "*"), run, MIXED)
 
@@ -67,8 +66,6 @@ def unpacked(packs: Iterable[bytes], schema: pa.Schema) -> Iterator[pa.RecordBat
         j = max(i + 1, int(np.searchsorted(sizes, (sizes[i - 1] if i else 0) + (4 << 20))))
         yield from table.take(order.slice(i, j - i)).combine_chunks().to_batches()
         i = j
-    del table
-    pa.default_memory_pool().release_unused()
 
 
 def squeezed(data: bytes) -> bytes:
