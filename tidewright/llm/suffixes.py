@@ -34,7 +34,7 @@ LENGTH, ANCHOR = 50, 20
 #: Cells for each block of documents, strings of a run at most, and different runs from which an anchor is split.
 CELLS_PER_BLOCK, RUN, HOT = 1 << 25, 64, 4096
 #: Suffixes that a shard sorts at once, and bytes that a block hashes at once.
-SORTED, SLICE = 1 << 21, 1 << 19
+SORTED, SLICE = 1 << 20, 1 << 19
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _LETTER = tuple(np.random.default_rng(s).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for s in (5, 6))
 _powers: dict = {}
@@ -327,7 +327,9 @@ def removals(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: i
             for d in unpacked(documents(), layout):
                 held.add(d.column("doc_id").to_pylist(), d.column("text"))
             doc, start, place, count, route, c1, c2 = held.runs()
+            held.parts.clear()
             data = np.concatenate(held.bytes) if held.bytes else np.zeros(0, np.uint8)
+            held.bytes.clear()
             keys = np.array(held.keys, np.int64)[doc]
             cell = _cells(route, bits)
             known, own = ranked(cell)
