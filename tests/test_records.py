@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright.config import Config
-from tidewright.operators import dedup, merge, rules, security, semantic
+from tidewright.operators import dedup, infer, ledger, merge, rules, security, semantic
 from tidewright.operators.clean import LINE, clean
 from tidewright.plans import pipeline, report
+from tidewright.streaming.records import clean_stream as records_stream
 from tidewright.sources import docx, generators, sinks, tables
 
 ROWS = [("a@b.com", "Ann", "Lee Roy", "2023-01-01", "5551234567"), ("A@B.com", "ann", "lee roy", "2024-01-01", "5559999999"), ("c@d.com", "Carl", "Moss", "2023-01-01", None)]
@@ -58,10 +59,68 @@ def test_repair_narrows_failures(spark):
 
     rows = [("bad", "J0hn", "boom", "2023-01-01", None), ("bad2", "J0e", "Stone", "2023-01-01", None)]
     done = {r[LINE]: r for r in pipeline.records(table(spark, rows), types=TYPES, resolver=Fixer()).collect()}
-    assert (done[1]["status"], done[1]["failure_reason"]) == ("REJECTED", "MODEL_CRASH")
+    assert (done[1]["status"], done[1]["failure_reason"], done[1]["repair_event"]) == ("REJECTED", "UNKNOWN", "ROW_ERROR")
     assert done[2]["status"] == "CLEAN" and done[2]["clean"]["first_name"] == "Zoe" and done[2]["extras"] == {"note": "x"}
 
 
+def test_a_model_that_does_not_load_rejects_what_it_was_asked(spark):
+    class Unloadable:
+        def load(self):
+            raise OSError("no weights")
+
+        def resolve(self, prompts):
+            return ["{}"] * len(prompts)
+
+    rows = [("bad", "J0hn", "Stone", "2023-01-01", None), ("a@b.com", "Ann", "Lee Roy", "2023-01-01", "5551234567")]
+    done = {r[LINE]: r for r in pipeline.records(table(spark, rows), types=TYPES, resolver=Unloadable()).collect()}
+    assert (done[1]["status"], done[1]["failure_reason"]) == ("REJECTED", "MODEL_CRASH")
+    assert done[2]["status"] == "CLEAN"
+
+
+def test_batches_shrink_and_grow_back():
+    sizes = []
+
+    class Fussy:
+        def resolve(self, prompts):
+            sizes.append(len(prompts))
+            if "bad" in prompts:
+                raise RuntimeError
+            if "big" in prompts and len(prompts) == 1:
+                raise MemoryError
+            return prompts
+
+    asked = ["a", "b", "bad", "c", "big", "d", "e", "f", "g"]
+    got = list(semantic._answers(Fussy(), asked[:4] + asked[5:], 4))
+    assert got == [(p, None) if p != "bad" else (None, "UNKNOWN") for p in asked[:4] + asked[5:]]
+    assert sizes == [4, 2, 4, 2, 1, 1, 2, 2]  # a row that fails by itself gives no reason to grow
+    assert list(semantic._answers(Fussy(), ["big"], 4)) == [(None, "MODEL_CRASH")]
+    assert list(semantic._answers(Fussy(), [], 4)) == []
+
+
+def test_events_of_survivorship_and_repair(spark):
+    rows = [("a@b.com", "Ann", "Lee", "2023-01-01", None), ("a@b.com", "Ann", "Lee", "2024-01-01", "5551234567"), ("a@b.com", "Ann", "Lee", "2024-02-01", "5559999999"), ("a@b.com", "Ann", "Lee", None, None)]
+    cfg = Config(placeholder_overwrites=False)
+    rows = [(e, f, n, d, p if p else "-") for e, f, n, d, p in rows]
+    done = dedup.enrich(dedup.mark(clean(table(spark, rows), TYPES, cfg), cfg), cfg)
+    got = {r[LINE]: r["gave"] for r in done.collect()}
+    # a placeholder is a value, so that no gap is open; the newer two say a phone and an email
+    assert got[1] is None and [tuple(got[i]) for i in (2, 3, 4)] == [(0, 2), (0, 2), (0, 0)]
+    held = done.withColumns({"failure_reason": F.lit(None).cast("string"), "repair_event": F.when(F.col(LINE) == 1, "JSON_PARSE_ERROR"), "confidence_score": F.lit(0.5)})
+    events = [(r["row_id"], r["action"]) for r in ledger.audit(held).collect()]
+    keeper = done.where(f"{LINE} = 1").first()["row_id"]
+    assert [a for i, a in events if i == keeper and a.startswith("ROW_U")] == ["ROW_UPDATED_FROM_NEWER"] * 2
+    assert (keeper, "JSON_PARSE_ERROR") in events and len(events) == 4 + 3 + 2 + 1
+    assert ledger.phases(spark, "r", 0).where("action = 'SKIP'").count() == 1
+
+
+def test_gaps_are_filled_once(spark):
+    df = clean(table(spark, [("a@b.com", "Ann", "Lee", "2023-01-01", "5551234567")] * 3), TYPES)
+    emptied = df.withColumn("clean", F.col("clean").withField("phone", F.when(F.col(LINE) > 1, F.col("clean.phone"))))
+    got = {r[LINE]: r for r in dedup.enrich(dedup.mark(emptied)).collect()}
+    assert got[1]["clean"]["phone"] == "555-123-4567"
+    assert [tuple(got[i]["gave"]) for i in (2, 3)] == [(1, 0), (0, 0)]
+
+
 def test_keys_that_repair_adds_reach_the_outputs(spark):
     class Adds:
         def resolve(self, prompts):
@@ -122,7 +181,9 @@ def test_sqlite(spark, tmp_path):
     df = tables.read_table(spark, p)
     assert df.columns == ["first_name", "n", LINE] and df.count() == 50 and df.where("n is null").count() == 17
     with sqlite3.connect(p) as db:
-        db.execute("CREATE TABLE other (x text)")
+        db.execute("CREATE TABLE other (x text PRIMARY KEY) WITHOUT ROWID")
+        db.executemany("INSERT INTO other VALUES (?)", [("b",), ("a",)])
+    assert [tuple(r) for r in tables.read_sqlite(spark, p, "other").orderBy(LINE).collect()] == [("a", 1), ("b", 2)]
     with pytest.raises(tables.InputError, match="several"):
         tables.read_sqlite(spark, p)
 
@@ -140,6 +201,50 @@ def test_docx(spark, tmp_path):
     made = docx.clean_documents(files, lambda ps: ['[{"id": 0, "cleaned": "Hi"}]' for _ in ps]).first()["content"]
     assert [b[2] for b in docx.blocks_of(bytes(made))] == ["Hi", "cell"]
     assert security.verdicts(files).first()["verdict"] == "OK"
+    out = tmp_path / "out"
+    docx.clean_folder(spark, str(tmp_path), str(out), lambda ps: ['[{"id": 1, "cleaned": "Ho"}]' for _ in ps])
+    assert [f.name for f in out.iterdir()] == ["a.docx"]
+    assert [b[2] for b in docx.blocks_of((out / "a.docx").read_bytes())] == ["Hello world", "Ho"]
+    with pytest.raises(ValueError, match="2 files named a.docx"):
+        sinks.write_files(files.unionByName(files), str(out))
+
+
+def test_macros_are_found(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "m.docx", "w") as z:
+        z.writestr("word/document.xml", _DOC)
+        z.writestr("word/vbaProject.bin", b"x")
+    files = spark.read.format("binaryFile").load(str(tmp_path / "m.docx"))
+    assert security.verdicts(files).first()["verdict"] == "MACRO_DETECTED"
+
+
+def test_types_come_from_the_first_values_of_each_column(spark):
+    rows = spark.createDataFrame([(f"u{i}@b.co" if i < 12 else "x", "  " if i < 5 else "2023-01-01 10:00", None) for i in range(40)], "a string, b string, c string")
+    assert infer.column_types(tables.with_lines(rows)) == {"a": "email", "b": "date"}
+    assert infer.column_types(tables.with_lines(rows.limit(0))) == {}
+
+
+def test_a_rejected_file_is_in_the_ledger(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_bytes(b"a\n=cmd|x\n")
+    with pytest.raises(pipeline.RejectedFile):
+        pipeline.run(spark, str(p), Config(run_id="g"), out_dir=str(tmp_path / "out"))
+    assert tables.read_csv(spark, str(tmp_path / "out" / "rejection_cache_g.csv")).first()["type"] == "FILE_REJECTED_SECURITY"
+
+
+def test_white_space_survives_a_csv_file(spark, tmp_path):
+    df = tables.with_lines(spark.createDataFrame([("  a ", " N/A "), ("b", "N/A")], "x string, y string"))
+    back = tables.read_csv(spark, sinks.write_csv(df, str(tmp_path / "w.csv")))
+    assert [tuple(r) for r in back.orderBy(LINE).collect()] == [("  a ", " N/A ", 1), ("b", None, 2)]
+
+
+def test_a_stream_is_cleaned_like_a_batch(spark, tmp_path):
+    src = str(tmp_path / "in")
+    table(spark).write.parquet(src)
+    batch = spark.read.parquet(src)
+    query = records_stream(spark.readStream.schema(batch.schema).parquet(src), TYPES).writeStream.format("memory").queryName("cleaned").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    same = lambda df: sorted((r[LINE], str(r["clean"])) for r in df.collect())
+    assert same(spark.table("cleaned")) == same(clean(batch, TYPES))
 
 
 def test_file_gate(spark):

@@ -18,6 +18,7 @@ from .clean import LINE, fields_of
 #: Tasks that the records of one key are dealt to.
 SALTS = 16
 _LABELS = {"email_only": "email", "phone_only": "phone"}
+GAVE = "struct<filled:int,updated:int>"
 
 
 def _value(df: DataFrame, field: str, cfg: Config) -> Column | None:
@@ -83,12 +84,14 @@ def enrich(df: DataFrame, cfg: Config = Config()) -> DataFrame:
     ``df`` is marked. Of newer duplicates the last in input order wins; gaps take the first value in input order. Fields that are
     double have a gap only where null, and zero is no value of a duplicate. all_fields has nothing to add, and is left alone.
 
+    ``gave`` is added: of a duplicate, how many gaps of its keeper it filled and how many values it was newer for; null for others.
+
     One pass gathers, for each key and date, the first and last values in input order (both combine before the shuffle); a
     keeper then takes its gaps from the first of all and its updates from the dates after its own. A key has as many dates as
     its records have days.
     """
     if not cfg.dedup or cfg.strategy in ("disabled", "all_fields"):
-        return df
+        return df.withColumn("gave", F.lit(None).cast(GAVE))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema["clean"].dataType.fields}
     names = list(kinds)
     mutable = [n for n in names if n in values.MUTABLE]
@@ -100,24 +103,33 @@ def enrich(df: DataFrame, cfg: Config = Config()) -> DataFrame:
             says = says & (c != cfg.placeholder)
         return F.when(says, F.struct(F.col(LINE).alias("line"), c.alias("v")))
 
+    def own(n: str) -> Column:
+        c = F.col("clean")[n]
+        return c if kinds[n] == "double" else F.nullif(c, F.lit(""))
+
+    dated = df.withColumn("__date", record_date(df))
+    gaps = [F.bool_or(~F.col("is_duplicate") & own(n).isNull()).alias(f"e{i}") for i, n in enumerate(names)]
     firsts = [F.min(F.when(F.col("is_duplicate"), said(n))).alias(f"f{i}") for i, n in enumerate(names)]
     lasts = [F.max(F.when(F.col("is_duplicate"), said(n, True))).alias(f"u{i}") for i, n in enumerate(mutable)]
-    by_date = df.withColumn("__date", record_date(df)).groupBy("fingerprint", "__date").agg(*firsts, *lasts, F.max(~F.col("is_duplicate")).alias("own"), F.max("is_duplicate").alias("others"))
+    by_date = dated.groupBy("fingerprint", "__date").agg(*firsts, *gaps, *lasts, F.max(~F.col("is_duplicate")).alias("own"), F.max("is_duplicate").alias("others"))
     found = by_date.groupBy("fingerprint").agg(
         *(F.min(f"f{i}").alias(f"f{i}") for i in range(len(names))),
+        *(F.bool_or(f"e{i}").alias(f"e{i}") for i in range(len(names))),
         F.max("others").alias("others"),
         F.max(F.when(F.col("own"), F.col("__date"))).alias("owner_date"),
         F.collect_list(F.when(F.col("__date").isNotNull(), F.struct(F.col("__date").alias("date"), *(F.col(f"u{i}") for i in range(len(mutable)))))).alias("dates"),
     )
     newer = F.filter("dates", lambda d: d["date"] > F.col("owner_date"))
     last = lambda i: F.array_max(F.transform(newer, lambda d: d[f"u{i}"]))
-    found = found.where("others").select("fingerprint", *(f"f{i}" for i in range(len(names))), *(last(i).alias(f"u{i}") for i in range(len(mutable))))
+    found = found.where("others").select("fingerprint", "owner_date", *(f"{k}{i}" for k in "fe" for i in range(len(names))), *(last(i).alias(f"u{i}") for i in range(len(mutable))))
     out = []
     for i, n in enumerate(names):
         c = F.col("clean")[n]
-        own = c if kinds[n] == "double" else F.nullif(c, F.lit(""))
         update = [F.col(f"u{mutable.index(n)}")["v"]] if n in mutable else []
-        got = F.coalesce(*update, own, F.col(f"f{i}")["v"], c)
+        got = F.coalesce(*update, own(n), F.col(f"f{i}")["v"], c)
         out.append(F.when(F.col("is_duplicate"), c).otherwise(got).alias(n))
-    joined = _salted(df, found)
-    return joined.withColumn("clean", let(F.struct(*out), lambda x: x)).select(*df.columns)
+    fills = [F.coalesce(F.col(f"e{i}") & (F.col(f"f{i}")["line"] == F.col(LINE)), F.lit(False)) for i in range(len(names))]
+    updates = [said(n, True).isNotNull() & F.coalesce(F.col("__date") > F.col("owner_date"), F.lit(False)) & ~fills[names.index(n)] for n in mutable]
+    count = lambda cs: sum((c.cast("int") for c in cs), F.lit(0))
+    gave = F.when(F.col("is_duplicate"), F.struct(count(fills).alias("filled"), count(updates).alias("updated"))).cast(GAVE)
+    return _salted(dated, found).withColumns({"clean": let(F.struct(*out), lambda x: x), "gave": gave}).select(*df.columns, "gave")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from dateutil.parser import parse as parse_date
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import values
@@ -88,15 +88,10 @@ def column_types(df: DataFrame, order: str = "_line_number", sample: int = SAMPL
     types = {c: header_type(c) for c in df.columns if c != order}
     unknown = [c for c, t in types.items() if t is None]
     if unknown:
-        # a bounded heap for each column and task: the smallest (order, value) pairs of the rows that have one
-        firsts = []
-        for c in unknown:
-            col = F.col(f"`{c}`").cast("string")
-            rows = df.where(col.isNotNull() & (strip(col) != "")).select(F.lit(c).alias("c"), F.col(f"`{order}`").cast("long").alias("o"), col.alias("x"))
-            firsts.append(rows.orderBy("o").limit(sample))
-        got = firsts[0]
-        for f in firsts[1:]:
-            got = got.unionByName(f)
+        # one scan; a limit on the rank within a column is applied in each task before rows are shuffled
+        cells = F.array(*(F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("x")) for c in unknown))
+        said = df.select(F.col(f"`{order}`").cast("long").alias("o"), F.explode(cells).alias("v")).select("o", "v.*").where(F.col("x").isNotNull() & (strip(F.col("x")) != ""))
+        got = said.withColumn("n", F.row_number().over(Window.partitionBy("c").orderBy("o"))).where(F.col("n") <= sample)
         samples: dict[str, list[str]] = {}
         for r in sorted(got.collect(), key=lambda r: r["o"]):  # ten rows a column
             samples.setdefault(r["c"], []).append(r["x"])

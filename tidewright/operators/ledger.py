@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +54,30 @@ def files_rejected(verdicts: DataFrame, run_id: str) -> DataFrame:
 
 
 def audit(df: DataFrame) -> DataFrame:
-    """Row events of a finished frame, without personal data: what was before and after is left to fingerprints."""
+    """Row events of a finished frame, in one pass and without personal data: what was before and after is left to fingerprints."""
     none = F.lit(None).cast("string")
 
-    def event(rows: DataFrame, phase: str, action: str, reason: Column = none, confidence: Column = none, before: Column = none) -> DataFrame:
-        return rows.select("run_id", "row_id", F.lit(phase).alias("phase"), F.lit(action).alias("action"), before.alias("before"), none.alias("after"), reason.alias("reason"), confidence.cast("string").alias("confidence"))
+    def event(when: Column, phase: str, action: Column, reason: Column = none, confidence: Column = none, before: Column = none, row: str = "row_id") -> Column:
+        made = F.struct(F.col(row).alias("row_id"), F.lit(phase).alias("phase"), action.alias("action"), before.alias("before"), none.alias("after"), reason.alias("reason"), confidence.cast("string").alias("confidence"))
+        return F.when(when, made)
 
-    resolved = (F.col("status") == "CLEAN") & (F.col("extras").isNotNull() if "extras" in df.columns else F.lit(False))  # repair gives a map, or null
-    parts = [
-        event(df, "PHASE_1", "ROW_PROCESSED"),
-        event(df.where("is_duplicate"), "PHASE_1", "DUPLICATE_DETECTED", F.concat(F.lit("duplicate of "), F.col("duplicate_of")), before=F.col("fingerprint")),
-        event(df.where(resolved), "PHASE_2", "ROW_RESOLVED", confidence=F.col("confidence_score")),
-        event(df.where(F.col("failure_reason") == "EMPTY_NAME"), "PHASE_3", "EMPTY_NAME_REJECTION"),
+    found = [
+        event(F.lit(True), "PHASE_1", F.lit("ROW_PROCESSED")),
+        event(F.col("is_duplicate"), "PHASE_1", F.lit("DUPLICATE_DETECTED"), F.concat(F.lit("duplicate of "), F.col("duplicate_of")), before=F.col("fingerprint")),
+        event(F.col("failure_reason") == "EMPTY_NAME", "PHASE_3", F.lit("EMPTY_NAME_REJECTION")),
     ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    if "gave" in df.columns:  # events of the keeper, one for each duplicate that gave something
+        for action, n, what in (("ROW_ENRICHED", "filled", "gaps filled by duplicate "), ("ROW_UPDATED_FROM_NEWER", "updated", "values of newer duplicate ")):
+            reason = F.concat(F.col("gave")[n].cast("string"), F.lit(" " + what), F.col("row_id"))
+            found.append(event(F.col("gave")[n] > 0, "PHASE_1", F.lit(action), reason, row="duplicate_of"))
+    if "repair_event" in df.columns:
+        done = F.col("repair_event") == "ROW_RESOLVED"
+        found.append(event(F.col("repair_event").isNotNull(), "PHASE_2", F.col("repair_event"), confidence=F.when(done, F.col("confidence_score"))))
+    return df.select("run_id", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("v")).select("run_id", "v.*")
+
+
+def phases(spark: SparkSession, run_id: str, to_repair: int) -> DataFrame:
+    """Events of the run itself: each phase's start and end; repair is skipped where no record needs it."""
+    middle = [("PHASE_2", "START", f"{to_repair} rows"), ("PHASE_2", "COMPLETE", None)] if to_repair else [("PHASE_2", "SKIP", "no rows need repair")]
+    events = [("PHASE_1", "START", None), ("PHASE_1", "COMPLETE", None), *middle, ("PHASE_3", "START", None), ("PHASE_3", "COMPLETE", None)]
+    return spark.createDataFrame([(run_id, None, p, a, None, None, r, None) for p, a, r in events], AUDIT)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import values
 from ..config import Config
-from ..functions.text import pin
+from ..functions.text import let, pin
 from .clean import fields_of
 
 PROMPT = "Clean this record. Answer with one JSON object that uses the keys first_name, last_name, email, phone, company and job_title, and with nothing else.\n"
@@ -19,7 +19,7 @@ REPAIRED_SCORE = 0.8
 
 
 class Resolver(Protocol):
-    """Answers prompts; loaded once a Python worker, called with at most a batch of rows."""
+    """Answers prompts, called with at most a batch of rows. ``load()``, if there is one, is called once a task before that."""
 
     def resolve(self, prompts: list[str]) -> list[str]: ...
 
@@ -35,33 +35,48 @@ def prompt(df: DataFrame) -> Column:
     return F.concat(F.lit(PROMPT + "Input: "), F.to_json(F.col("raw")), F.lit("\nOutput:"))
 
 
+def _answers(resolver: Resolver, prompts: list[str], size: int) -> Iterator[tuple[str | None, str | None]]:
+    """(reply, failure) of each prompt. Batches are halved where one fails, and grow back after one that works."""
+    at, n = 0, size
+    while at < len(prompts):
+        batch = prompts[at : at + n]
+        try:
+            got = resolver.resolve(batch)
+            if len(got) != len(batch):
+                raise ValueError("a reply for each prompt is expected")
+        except Exception as e:  # a model may fail in any way: narrow the batch down to the row
+            if len(batch) > 1:
+                n = len(batch) // 2
+                continue
+            got, failure = [None], "MODEL_CRASH" if isinstance(e, MemoryError) else "UNKNOWN"
+        else:
+            failure, n = None, min(2 * n, size)
+        at += len(batch)
+        yield from ((g, failure) for g in got)
+
+
 def replies(df: DataFrame, resolver: Resolver | None = None, cfg: Config = Config()) -> DataFrame:
-    """Adds reply to the rows that need repair, null to others. Without a resolver it is a literal; a failed batch is tried row by
-    row, and a row that still fails has reply null and failed true."""
+    """Adds reply to the rows that need repair, null to others, and failed: why a row has no answer. Without a resolver the reply is
+    a literal. A row that fails by itself has UNKNOWN, or MODEL_CRASH if memory ran out; where the resolver does not load, all rows
+    that need repair have MODEL_CRASH."""
     asks = F.col("status") == "AI_REQUIRED"
     if resolver is None or isinstance(resolver, NullResolver):
-        return df.withColumns({"reply": F.when(asks, F.lit("{}")), "failed": F.lit(False)})
+        return df.withColumns({"reply": F.when(asks, F.lit("{}")), "failed": F.lit(None).cast("string")})
     size = cfg.batch_rows
 
-    def answer(prompts: list[str]) -> list[tuple[str | None, bool]]:
-        try:
-            got = resolver.resolve(prompts)
-            if len(got) != len(prompts):
-                raise ValueError("a reply for each prompt is expected")
-            return [(g, False) for g in got]
-        except Exception:  # a model may fail in any way: narrow the batch down to the row
-            if len(prompts) == 1:
-                return [(None, True)]
-            half = len(prompts) // 2
-            return answer(prompts[:half]) + answer(prompts[half:])
-
-    @F.pandas_udf("reply string, failed boolean")
+    @F.pandas_udf("reply string, failed string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        loaded = None
         for s in batches:
             texts = s.dropna()
-            got = [r for i in range(0, len(texts), size) for r in answer(texts.iloc[i : i + size].tolist())]
-            out = pd.DataFrame(got, columns=["reply", "failed"], index=texts.index)
-            yield out.reindex(s.index).astype({"reply": object}).assign(failed=lambda d: d["failed"].fillna(False).astype(bool))
+            if loaded is None and len(texts):
+                try:
+                    getattr(resolver, "load", lambda: None)()
+                    loaded = True
+                except Exception:  # as above
+                    loaded = False
+            got = list(_answers(resolver, texts.tolist(), size)) if loaded else [(None, "MODEL_CRASH")] * len(texts)
+            yield pd.DataFrame(got, columns=["reply", "failed"], index=texts.index).reindex(s.index).astype(object)
 
     return df.withColumn("__r", ask(F.when(asks, prompt(df)))).withColumns({"reply": F.col("__r.reply"), "failed": F.col("__r.failed")}).drop("__r")
 
@@ -83,10 +98,15 @@ def parsed(reply: Column) -> Column:
     )
 
 
+def fault(reply: Column) -> Column:
+    """Null for a JSON object, JSON_PARSE_ERROR for what is no JSON or null, SCHEMA_ERROR for other JSON."""
+    kind = F.schema_of_variant(F.try_parse_json(parsed(reply)))
+    return let(kind, lambda k: F.when(k.startswith("OBJECT"), None).when(k.isNull() | (k == "VOID"), "JSON_PARSE_ERROR").otherwise("SCHEMA_ERROR"))
+
+
 def verdict(reply: Column) -> Column:
     """OBJECT, or INVALID_FORMAT for what is no JSON, null or no object."""
-    kind = F.schema_of_variant(F.try_parse_json(parsed(reply)))
-    return F.when(kind.startswith("OBJECT"), "OBJECT").otherwise("INVALID_FORMAT")
+    return F.when(fault(reply).isNull(), "OBJECT").otherwise("INVALID_FORMAT")
 
 
 def canonical_keys(m: Column) -> Column:
@@ -120,12 +140,13 @@ def merged(name: str, old: Column, answer: Column) -> Column:
 
 
 def repair(df: DataFrame, resolver: Resolver | None = None, cfg: Config = Config()) -> DataFrame:
-    """Routed rows after repair; keys of answers that are no fields go to the map ``extras``."""
+    """Routed rows after repair; keys of answers that are no fields go to the map ``extras``, what happened to ``repair_event``."""
     if not cfg.repair:
-        return df.withColumn("extras", F.lit(None).cast("map<string,string>"))
-    asked = replies(df, resolver, cfg).withColumn("__v", pin(verdict(F.col("reply")))).withColumn("__m", pin(reply_map(F.col("reply"))))
+        return df.withColumns({"extras": F.lit(None).cast("map<string,string>"), "repair_event": F.lit(None).cast("string")})
+    asked = replies(df, resolver, cfg).withColumn("__v", pin(fault(F.col("reply")))).withColumn("__m", pin(reply_map(F.col("reply"))))
     asks = F.col("status") == "AI_REQUIRED"
-    good = asks & ~F.col("failed") & (F.col("__v") == "OBJECT")
+    good = asks & F.col("failed").isNull() & F.col("__v").isNull()
+    event = F.when(good, "ROW_RESOLVED").when(asks & F.col("failed").isNotNull(), "ROW_ERROR").when(asks, F.col("__v"))
     names = fields_of(df, "clean")
     kinds = {f.name: f.dataType.simpleString() for f in df.schema["clean"].dataType.fields}
     fixed = [F.when(good, merged(n, F.col("clean")[n], F.col("__m"))).otherwise(F.col("clean")[n]).alias(n) if kinds[n] == "string" else F.when(good & F.map_contains_key("__m", n), F.coalesce(F.col("__m")[n].try_cast(kinds[n]), F.col("clean")[n])).otherwise(F.col("clean")[n]).alias(n) for n in names]
@@ -135,7 +156,8 @@ def repair(df: DataFrame, resolver: Resolver | None = None, cfg: Config = Config
             {
                 "clean": pin(F.struct(*fixed)),
                 "extras": F.when(good, extras),
-                "failure_reason": pin(F.when(asks & F.col("failed"), "MODEL_CRASH").when(asks & ~good, "INVALID_FORMAT").otherwise(F.col("failure_reason"))),
+                "repair_event": pin(event),
+                "failure_reason": pin(F.when(asks & F.col("failed").isNotNull(), F.col("failed")).when(asks & ~good, "INVALID_FORMAT").otherwise(F.col("failure_reason"))),
                 "confidence_score": F.when(good, REPAIRED_SCORE).otherwise(F.col("confidence_score")),
                 "status": pin(F.when(good, "CLEAN").when(asks, "REJECTED").otherwise(F.col("status"))),
             }

@@ -154,11 +154,24 @@ def _survivor(f: str) -> str:
     return f"coalesce({update}max(nullif(c_{f}, '')) FILTER (WHERE rn = 1), min_by(c_{f}, line_no) FILTER (WHERE rn > 1 AND c_{f} <> ''), max(c_{f}) FILTER (WHERE rn = 1)) AS g_{f}"
 
 
+_SAYS = {f: f"c_{f} <> 0" if f == "salary" else f"c_{f} <> ''" for f in FIELDS}
+_FILLS = {f: f"coalesce(gap_{f} AND line_no = first_{f}, false)" for f in FIELDS}
+#: What each duplicate gave its keeper, beside the marks.
+GIVEN = (
+    marked().replace("\nm AS (", "\nm0 AS (")
+    + ",\nm1 AS (SELECT *, "
+    + ", ".join(f"coalesce({'first_value(c_salary) OVER w IS NULL' if f == 'salary' else f'first_value(c_{f}) OVER w = {q("")} OR first_value(c_{f}) OVER w IS NULL'}, true) AS gap_{f}, min(CASE WHEN rn > 1 AND {_SAYS[f]} THEN line_no END) OVER (PARTITION BY fingerprint) AS first_{f}" for f in FIELDS)
+    + " FROM m0 WINDOW w AS (PARTITION BY fingerprint ORDER BY line_no)),\nm AS (SELECT *, "
+    + " + ".join(f"CASE WHEN rn > 1 AND {_FILLS[f]} THEN 1 ELSE 0 END" for f in FIELDS)
+    + " AS filled, "
+    + " + ".join(f"CASE WHEN rn > 1 AND {_SAYS[f]} AND TRY_CAST(c_join_date AS DATE) > owner_date AND NOT {_FILLS[f]} THEN 1 ELSE 0 END" for f in FIELDS if f in values.MUTABLE)
+    + " AS updated FROM m1)"
+)
 ENRICHED = (
-    marked()
+    GIVEN
     + ",\ng AS (SELECT fingerprint, "
     + ", ".join(map(_survivor, FIELDS))
-    + " FROM m GROUP BY fingerprint),\ne2 AS (SELECT m.line_no, m.row_id, m.fingerprint, m.is_duplicate, m.duplicate_of, "
+    + " FROM m GROUP BY fingerprint),\ne2 AS (SELECT m.line_no, m.row_id, m.fingerprint, m.is_duplicate, m.duplicate_of, m.filled, m.updated, "
     + ", ".join(f"m.{f} AS raw_{f}, m.st_{f}" for f in FIELDS)
     + ", "
     + ", ".join(f"CASE WHEN m.is_duplicate THEN m.c_{f} ELSE g.g_{f} END AS {f}" for f in FIELDS)

@@ -32,11 +32,23 @@ def records(df: DataFrame, cfg: Config = Config(), resolver: Resolver | None = N
     return out if until == "repair" else merge.finish(out, cfg)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; on one machine, where that is unset, a folder of it."""
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not shared:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tidewright-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
 def settled(df: DataFrame) -> DataFrame:
     """The rows as a checkpoint in the shared folder: what follows reads them several times, and must not plan or compute all before it again."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewright-"))
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
@@ -60,6 +72,8 @@ def run(spark: SparkSession, path: str, cfg: Config = Config(), resolver: Resolv
     if gate:
         verdict = security.verdicts(spark.read.format("binaryFile").load(path), cfg).first()["verdict"]
         if verdict != "OK":
+            if out_dir:
+                write_csv(ledger.files_rejected(spark.createDataFrame([(path, verdict)], "path string, verdict string"), cfg.run_id), f"{out_dir}/rejection_cache_{cfg.run_id}.csv")
             raise RejectedFile(f"{path}: {verdict}")
     table = read_table(spark, path)
     table = security.neutralise_all(table)
@@ -70,7 +84,8 @@ def run(spark: SparkSession, path: str, cfg: Config = Config(), resolver: Resolv
     final = merge.restore_integers(final.drop(*gone))
     rejected = merge.prune(rejected, cfg)
     book = ledger.values_rejected(done).unionByName(ledger.rows_rejected(done)).unionByName(ledger.columns_rejected(spark, cfg.run_id, gone, cfg.placeholder))
-    log = ledger.audit(done).withColumn("timestamp", F.current_timestamp())
+    asked = done.where(F.col("repair_event").isNotNull()).count()
+    log = ledger.audit(done).unionByName(ledger.phases(spark, cfg.run_id, asked)).withColumn("timestamp", F.current_timestamp())
     if out_dir:
         write_csv(final, f"{out_dir}/final_output_{cfg.run_id}.csv")
         write_csv(book, f"{out_dir}/rejection_cache_{cfg.run_id}.csv")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from ..functions import normalize as N
 from ..functions import text as T
 from ..operators import dedup, infer, ledger, merge, rules, score, security, semantic
 from ..operators.clean import LINE, clean
-from ..sources import generators, tables
+from ..sources import generators, sinks, tables
 from . import oracle as O
 from . import pipeline, report
 from .leads import FIELDS, LEADS, TYPES, leads, lined
@@ -365,7 +366,7 @@ def _(spark, sf_dir):
     return ledger.columns_rejected(spark, "run", merge.empty_columns(rows), O.P).drop("details")
 
 
-_AUDIT = "SELECT row_id, 'ROW_PROCESSED' AS action FROM z UNION ALL SELECT row_id, 'DUPLICATE_DETECTED' FROM z WHERE is_duplicate UNION ALL SELECT row_id, 'ROW_RESOLVED' FROM z WHERE status = 'CLEAN' AND confidence_score = 0.8 UNION ALL SELECT row_id, 'EMPTY_NAME_REJECTION' FROM z WHERE failure_reason = 'EMPTY_NAME'"
+_AUDIT = "SELECT row_id, 'ROW_PROCESSED' AS action FROM z UNION ALL SELECT row_id, 'DUPLICATE_DETECTED' FROM z WHERE is_duplicate UNION ALL SELECT duplicate_of, 'ROW_ENRICHED' FROM z WHERE filled > 0 UNION ALL SELECT duplicate_of, 'ROW_UPDATED_FROM_NEWER' FROM z WHERE updated > 0 UNION ALL SELECT row_id, 'ROW_RESOLVED' FROM r WHERE status = 'AI_REQUIRED' UNION ALL SELECT row_id, 'EMPTY_NAME_REJECTION' FROM z WHERE failure_reason = 'EMPTY_NAME'"
 
 
 @query("audit_events", O.sql(O.DONE, _AUDIT))
@@ -378,8 +379,57 @@ def _(spark, sf_dir):
     return report.action_counts(ledger.audit(_until(spark, sf_dir, "finish")))
 
 
+# -- readers and sinks --------------------------------------------------------------------------------------------------
+
+_NULLED = ", ".join(f"CASE WHEN {f} NOT IN {O.inlist(values.CSV_NULLS)} THEN {f} END AS {f}" for f in FIELDS)
+
+
+def _round_trip(spark, rows):
+    """Rows written as one CSV file under the shared folder, and read again."""
+    path = f"{pipeline.shared_folder(spark)}/tidewright/csv-{uuid.uuid4().hex}.csv"
+    return tables.read_csv(spark, sinks.write_csv(rows, path))
+
+
+@query("csv_round_trip", O.sql(_LEADS, f"SELECT line_no, {_NULLED} FROM leads"))
+def _(spark, sf_dir):
+    return _round_trip(spark, lined(spark, sf_dir)).withColumnRenamed(LINE, "line_no")
+
+
+@query("csv_output_order", O.sql(O.DONE, "SELECT row_number() OVER (ORDER BY line_no) AS line_no, row_id, position FROM (SELECT line_no, row_id, job_title AS position FROM z WHERE status = 'CLEAN')"))
+def _(spark, sf_dir):
+    final = pipeline.outputs(_until(spark, sf_dir, "finish"))[0]
+    return _round_trip(spark, final.select("row_id", "position", LINE)).select(F.col(LINE).alias("line_no"), "row_id", "position")
+
+
+# a canonical name beside the header that was found has only what a normaliser made
+_HEADERS = {"first_name": "fname", "last_name": "surname", "email": "mail", "phone": "tel", "job_title": "role", "company": "company", "join_date": "join_date", "salary": "salary"}
+
+
+@query("clean_alias_headers", O.sql(O.CLEAN, "SELECT line_no, " + ", ".join(f"{'v' if f in values.CANONICAL else 'c'}_{f} AS {f}" for f in FIELDS) + ", c_email AS mail, c_phone AS tel FROM p1"))
+def _(spark, sf_dir):
+    rows = lined(spark, sf_dir).withColumnsRenamed(_HEADERS)
+    done = clean(rows, infer.column_types(rows))
+    return done.select(_line(), *(F.col("clean")[f].alias(f) for f in [*FIELDS, "mail", "tel"]))
+
+
 # -- security ----------------------------------------------------------------------------------------------------------
 
+# a file a page, whose name and first bytes depend on its number
+_KIND = "page_id % 8"
+_GATE = f"""SELECT page_id, CASE {_KIND} WHEN 0 THEN '.exe' WHEN 1 THEN '.txt' WHEN 2 THEN '.db' WHEN 3 THEN '.DOCX' ELSE '.csv' END AS ext,
+  CASE {_KIND} WHEN 2 THEN concat('SQLite format 3', chr(0), 'x') WHEN 3 THEN concat('PK', chr(3), chr(4), 'zz') WHEN 4 THEN concat('a,b', chr(0)) WHEN 5 THEN concat('=cmd|', page_id::VARCHAR)
+    WHEN 6 THEN repeat('x', 2000) ELSE 'a,b' END AS body FROM pages"""
+
+
+@query("file_gate_branches", f"""SELECT page_id, CASE WHEN {_KIND} = 6 THEN 'FILE_SIZE_EXCEEDED' WHEN {_KIND} = 0 THEN 'HAZARDOUS_FILE_DETECTED' WHEN {_KIND} = 1 THEN 'UNSUPPORTED_FILE_TYPE' WHEN {_KIND} = 4 THEN 'INVALID_FILE_SIGNATURE'
+  WHEN {_KIND} = 5 THEN 'DANGEROUS_PATTERN_DETECTED' WHEN {_KIND} = 3 THEN 'INVALID_DOCX' ELSE 'OK' END AS verdict, octet_length(encode(body))::BIGINT AS length, sha256(body) AS sha256 FROM ({_GATE})""")
+def _(spark, sf_dir):
+    rows = spark.sql(_GATE.replace("chr(0)", "char(0)").replace("::VARCHAR", "::STRING").replace("FROM pages", "FROM {pages}"), pages=_table(spark, sf_dir, "pages"))
+    files = rows.select(F.concat(F.lit("/in/"), F.col("page_id").cast("string"), F.col("ext")).alias("path"), F.col("body").cast("binary").alias("content")).withColumn("length", F.length("content").cast("long"))
+    got = security.verdicts(files, Config(max_file_bytes=1000))
+    return got.select(F.regexp_extract("path", r"(\d+)\.", 1).cast("long").alias("page_id"), F.substring_index("verdict", ":", 1).alias("verdict"), "length", "sha256")
+
+
 _SIGNED = "SELECT c_custkey, concat(CASE c_custkey % 6 WHEN 0 THEN '=' WHEN 1 THEN ' +' WHEN 2 THEN '-' WHEN 3 THEN '@' ELSE '' END, c_name) AS x FROM customer"
 
 

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sinks import write_files
+
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 BLOCKS = "path string, id int, type string, text string, metadata map<string,string>"
 BATCH = 20
@@ -130,6 +132,12 @@ def rebuild(files: DataFrame, blocks: DataFrame) -> DataFrame:
     return files.select("path", "content").join(per, "path", "left").select("path", made("content", "cleaned").alias("content"))
 
 
+def clean_folder(spark: SparkSession, folder: str, out_dir: str, resolve: Callable[[list[str]], list[str]] | None = None) -> None:
+    """The documents of a folder, cleaned, under their names in another."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").load(folder)
+    write_files(clean_documents(files, resolve), out_dir)
+
+
 def clean_documents(files: DataFrame, resolve: Callable[[list[str]], list[str]] | None = None) -> DataFrame:
     """Files cleaned by a resolver of prompts; without one they come back as they are, text for text."""
     blocks = read_blocks(files)

@@ -21,13 +21,15 @@ def _pick(seed: int, key: str, options: list[str]) -> Column:
     return F.element_at(F.array(*map(F.lit, options)), _draw(seed, key, len(options)) + 1)
 
 
-def _mess(seed: int, key: str, c: Column) -> Column:
+def _mess(seed: int, key: str, c: Column, percent: int = 30) -> Column:
+    """Noise on ``percent`` of the values."""
     how, noise = _draw(seed, key + "-how", 5), _pick(seed, key + "-noise", _NOISE)
-    return F.when(how == 0, F.concat(noise, c)).when(how == 1, F.concat(c, noise)).when(how == 2, F.upper(c)).when(how == 3, F.lower(c)).otherwise(c)
+    spared = _draw(seed, key + "-spared", 100) >= percent
+    return F.when(spared, c).when(how == 0, F.concat(noise, c)).when(how == 1, F.concat(c, noise)).when(how == 2, F.upper(c)).when(how == 3, F.lower(c)).otherwise(F.concat(c, F.lit(" " + _NOISE[0])))
 
 
 def messy_records(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
-    """``n`` records, and five more that repeat some where n is over ten; the same for the same seed, at any parallelism."""
+    """``n`` records, shuffled, and five more that repeat some where n is over ten; the same for the same seed, at any parallelism."""
     ids = spark.range(n)
     if n > 10:
         ids = ids.unionByName(spark.range(5).select(F.pmod(F.xxhash64(F.lit(seed), F.lit("again"), F.col("id")), F.lit(n)).alias("id")))
@@ -37,11 +39,11 @@ def messy_records(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     digits = F.lpad((F.lit(2_000_000_000) + F.pmod(F.xxhash64(F.lit(seed), F.lit("digits"), F.col("id")), F.lit(7_999_999_999))).cast("string"), 10, "0")
     shown = F.when(_draw(seed, "form", 2) == 0, digits).otherwise(F.concat(F.lit("("), F.substring(digits, 1, 3), F.lit(") "), F.substring(digits, 4, 3), F.lit("-"), F.substring(digits, 7, 4)))
     day = _draw(seed, "day", 100)
-    return ids.select(
+    return ids.orderBy(F.xxhash64(F.lit(seed), F.lit("order"), F.col("id"))).select(
         first.alias("first_name"),
         last.alias("last_name"),
-        F.when(has_mail | ~has_phone, _mess(seed, "mail", mail)).alias("email"),
-        F.when(has_phone, _mess(seed, "phone", shown)).alias("phone"),
+        F.when(has_mail | ~has_phone, _mess(seed, "mail", mail, 40)).alias("email"),
+        F.when(has_phone, _mess(seed, "phone", shown, 40)).alias("phone"),
         _mess(seed, "job", _pick(seed, "job", _JOBS)).alias("job_title"),
         F.lit("Acme Corp").alias("company"),
         F.when(day < 20, "01/01/23").when(day < 28, "Jan 1st, 2023").otherwise("2023-01-01").alias("date"),

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from .. import values
-from ..functions.text import strip
 from ..operators.clean import LINE
 from ..operators.infer import bad_header, header_row, normal_header, unique_names
 
@@ -47,7 +46,8 @@ def read_csv(spark: SparkSession, path: str, nulls: bool = True) -> DataFrame:
     try:
         probe = spark.read.option("multiLine", True).option("escape", '"').csv(path)
         width = len(probe.columns)
-        head = [[r[i] for i in range(width)] for r in with_lines(_raw_csv(spark, path, width)).where(F.col(LINE) <= 11).orderBy(LINE).collect()]
+        raw = _raw_csv(spark, path, width)
+        head = [[r[i] for i in range(width)] for r in raw.head(11)]  # in the order of partitions, as lines are numbered
     except Exception as e:
         raise InputError(f"cannot read {path}: {e}") from e
     if not head:
@@ -58,8 +58,10 @@ def read_csv(spark: SparkSession, path: str, nulls: bool = True) -> DataFrame:
         if found is not None:
             first, names = found + 1, [x or "" for x in head[found + 1]]
     names = unique_names([normal_header(n) or f"unnamed:_{i}" for i, n in enumerate(names)])
-    rows = with_lines(_raw_csv(spark, path, width)).where(F.col(LINE) > first + 1)
-    value = lambda c: F.when(strip(F.col(c)).isin(values.CSV_NULLS), None).otherwise(F.col(c)) if nulls else F.col(c)
+    # one file is one task's work, and needs no count to be numbered
+    lined = raw.withColumn(LINE, F.monotonically_increasing_id() + 1) if raw.rdd.getNumPartitions() == 1 else with_lines(raw)
+    rows = lined.where(F.col(LINE) > first + 1)
+    value = lambda c: F.when(F.col(c).isin(values.CSV_NULLS), None).otherwise(F.col(c)) if nulls else F.col(c)
     return rows.select(*(value(f"c{i}").alias(n) for i, n in enumerate(names)), (F.col(LINE) - (first + 1)).alias(LINE))
 
 
@@ -75,7 +77,10 @@ class _SqliteReader(DataSourceReader):
 
     def partitions(self):
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
-            low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.table)}").fetchone()
+            try:
+                low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.table)}").fetchone()
+            except sqlite3.OperationalError:  # a table WITHOUT ROWID: one range, in the order of its key
+                return [_SqliteRange(None, None)]
         if low is None:
             return [_SqliteRange(0, 0)]
         step = max(1, -(-(high - low + 1) // self.parts))
@@ -85,7 +90,11 @@ class _SqliteReader(DataSourceReader):
         names = [f.name for f in self.schema.fields if f.name != LINE]
         columns = ", ".join(_quoted(n) for n in names)
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
-            for row in db.execute(f"SELECT rowid, {columns} FROM {_quoted(self.table)} WHERE rowid >= ? AND rowid < ? ORDER BY rowid", (partition.low, partition.high)):
+            if partition.low is None:
+                found = ((i, *row) for i, row in enumerate(db.execute(f"SELECT {columns} FROM {_quoted(self.table)}"), 1))
+            else:
+                found = db.execute(f"SELECT rowid, {columns} FROM {_quoted(self.table)} WHERE rowid >= ? AND rowid < ? ORDER BY rowid", (partition.low, partition.high))
+            for row in found:
                 yield (*(None if x is None else str(x) for x in row[1:]), row[0])
 
 
