@@ -4,6 +4,7 @@ import hashlib
 import importlib.util
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -485,3 +486,57 @@ def test_empty_tables(docs):
     spec = tokenizer_spec()
     made = [bpe.encode_decode(none, spec), packing.pack_documents(none, spec, END_ID), token_files.read_token_files(token_files.write_token_files(none, spec, VOCABULARY, END_ID).df), substrings.dedup_windows(none), suffixes.dedup_bytes(none), simhash.near_groups(none), fingerprint.edited_versions(none), perplexity.quality(none), langid.identify(none, langid.fit(none)), bpe.encode_decode(none, spec)]
     assert [m.count() for m in made] == [0] * len(made)
+
+
+def test_long_fragments_merge_like_the_library():
+    from tokenizers import Tokenizer
+
+    r = random.Random(1)
+    mine, library = bpe.ForcedBoundaryBPE.of(tokenizer_spec()), Tokenizer.from_str(tokenizer_spec())
+    for letters in ("a", "ab", "aeinrst", "abcdefghijklmnopqrstuvwxyz", "!-=", "aé"):
+        for n in (63, 64, 65, 66, 200, 30_000):
+            text = "".join(r.choice(letters) for _ in range(n))
+            assert mine.ids(text) == library.encode(text, add_special_tokens=False).ids
+    began = time.process_time()
+    mine.ids("b" * 300_000)
+    assert time.process_time() - began < 20
+
+
+def test_very_long_texts(spark):
+    """Texts of a megabyte, of one character, of few words and of ordinary ones, one of them shared with a short text."""
+    from tokenizers import Tokenizer
+
+    r = random.Random(3)
+    vocabulary = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 8))) for _ in range(4000)]
+    prose = " ".join(r.choice(vocabulary) for _ in range(150_000))
+    part = " ".join(prose.split(" ")[90_000:90_060])
+    texts = [prose, "a" * 1_000_000, "x y " * 250_000, "BEGIN " + part + " END", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 7, "k", "r") for i, t in enumerate(texts)], COLUMNS)
+    library, spec = Tokenizer.from_str(tokenizer_spec()), tokenizer_spec()
+    ids = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encoded = got(bpe.encode_decode(docs, spec), "doc_id", "n_tokens", "ids_sha256")
+    assert encoded == [(i, len(x), hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest()) for i, x in enumerate(ids)]
+    with_end = [np.array([*x, END_ID], "<u4") for x in ids]
+    read = got(token_files.read_token_files(token_files.write_token_files(docs, spec, VOCABULARY, END_ID).df), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert read == [(i, sum(map(len, with_end[:i])), len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(with_end)]
+    pieces = packing.pack_documents(docs, spec, END_ID).collect()
+    for i, x in enumerate(with_end):
+        mine = sorted((p["start"], p["length"], p["ids_crc32"]) for p in pieces if p["doc_id"] == i)
+        assert [s for s, _, _ in mine] == [0, *np.cumsum([n for _, n, _ in mine])[:-1].tolist()] and sum(n for _, n, _ in mine) == len(x)
+        assert all(zlib.crc32(x[s : s + n].tobytes()) == crc and n <= 2048 for s, n, crc in mine)
+    cut = {x["doc_id"]: x for x in suffixes.dedup_bytes(docs).collect()}
+    assert [cut[i]["n_removed"] for i in (0, 1, 2, 4)] == [0, 0, 0, 0]
+    assert bytes(cut[3]["kept"]) == b"BEGIN" + b"END"  # the spaces on both sides are in the long text too
+    words = {x["doc_id"]: x for x in substrings.dedup_windows(docs).collect()}
+    assert words[3]["kept"] == "BEGIN END" and words[0]["n_removed"] == 0 and words[1]["n_words"] == 1
+    assert words[2]["n_removed"] == 500_000 - 2  # all windows but the first two start with a sequence that was there
+    near = got(simhash.near_groups(docs), "doc_id", "component_id")
+    assert near == [(i, i) for i in range(5)]
+    counts = {x["doc_id"]: x for x in perplexity.quality(docs).collect()}
+    assert [counts[i]["n_words"] for i in range(5)] == [150_000, 1, 500_000, 62, 0]
+    assert [counts[i]["base_failed"] for i in range(5)] == [False, True, True, False, True]
+    made = {x["doc_id"]: x for x in fingerprint.edited_versions(docs).collect()}
+    assert made[2]["n_chars"] == 1_000_000 and made[0]["near_edited"] > 0.2
+    pages = spark.createDataFrame([(0, "http://a.b/c", "<body><p>" + prose + "</p></body>")], "page_id long, url string, html string")
+    assert html.extract(pages).first()["text"] == prose
+    assert html.extract(pages.limit(0)).count() == 0

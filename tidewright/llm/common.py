@@ -37,9 +37,12 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; on one machine, where that is unset, a folder of it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidewright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -162,6 +162,7 @@ def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, windows_per_doc: in
 
     The sample is bounded: a hash of doc_id and text picks an expected ``docs_per_lang`` documents of each language (at most
     four thirds of it are used), from each of which at most ``windows_per_doc`` windows spread over the text reach the driver.
+    Null texts and languages teach nothing; repeated rows are picked together; an empty table gives None; other columns are ignored.
     """
     rows = columns(docs, "doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for a language

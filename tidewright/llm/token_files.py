@@ -134,7 +134,11 @@ _SEGMENT = pa.schema([("shard", pa.int32()), ("seg", pa.int32()), ("seg_start",
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
-    """Per document of the written segments: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    """Per document of the written segments: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
+
+    Each row that was written comes back as one, null and repeated doc_ids too. A segment is unpacked at a time, and a very long text
+    is a segment of its own; no segment gives no row.
+    """
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
