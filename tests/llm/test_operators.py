@@ -357,6 +357,33 @@ def test_perplexity_against_a_brute_force_model(spark):
     assert model.negative_logs(data, times) == pytest.approx(want)
 
 
+def test_perplexity_counts_each_gram_by_itself(spark):
+    texts = [b"x1yz" * 3, b"xqyw", b"x1yz xqyw", b"a qyz"]  # codes of x1yz and xqyw, and of 1yz and qyw, differ by 4,194,301
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = perplexity.fit(docs)
+    p, d = brute_kneser_ney(texts, 4)
+    assert model.negative_logs(texts) == pytest.approx([mean_log(p, t, 4) for t in texts])
+    want = [mean_log(brute_kneser_ney(texts[:i] + texts[i + 1 :], 4, d)[0], t, 4) for i, t in enumerate(texts)]
+    assert model.negative_logs(texts, np.ones(4, np.int64)) == pytest.approx(want)
+
+
+def test_perplexity_of_a_model_that_its_arrays_cannot_hold(spark, docs, monkeypatch):
+    rows = lambda: sorted(perplexity.quality(docs).collect(), key=lambda r: repr(r[:-1]) + f"{r[-1] or 0:.6f}")
+    whole = rows()
+    carried = got(perplexity.keep_good(docs), *docs.columns)
+    unseen = [b"abdc unseen", b"~~", b""]
+    logs = perplexity.fit(docs).negative_logs(unseen)
+    held = 9
+    monkeypatch.setattr(perplexity, "HELD", held)
+    model = perplexity.fit(docs)
+    assert model.rest is not None and all(len(t.codes) <= held for x in model.levels for t in (x.grams, x.contexts))
+    assert model.negative_logs(unseen) == pytest.approx(logs)
+    assert got(perplexity.keep_good(docs), *docs.columns) == carried
+    for r, want in zip(rows(), whole, strict=True):
+        assert r[:-1] == want[:-1] and r["perplexity"] == (want["perplexity"] and pytest.approx(want["perplexity"], rel=1e-9))
+    assert perplexity.quality(docs.limit(0), model).count() == 0 and perplexity.quality(docs.limit(20), model).count() == 20
+
+
 def test_verdicts_follow_the_bands(docs):
     rows = perplexity.quality(docs).collect()
     assert {r["doc_id"] for r in rows if r["kept"]} <= {r["doc_id"] for r in rows if not r["base_failed"]}

@@ -2,8 +2,9 @@
 
 The n-grams are of ORDER bytes. Tasks count those of every document in sorted arrays, a shuffle of (code, count) adds them up,
 and all of them stay: nothing is dropped, whatever the size of the corpus. Lower orders, their counts of distinct
-continuations, totals of contexts and discounts are aggregations of that table. The model is kept in sorted hash arrays, whose
-keys are codes modulo SLOTS: a table of any size fits in SLOTS entries an order, so that the model can be broadcast.
+continuations, totals of contexts and discounts are aggregations of that table. Each n-gram has counts of its own. The commonest of
+an order, at most HELD, are broadcast in sorted arrays; where there are more, the others stay in a staged table, and documents
+ask it by a join for what the arrays do not have, a pack of texts at a time. So scores are exact for a model of any size.
 
 A document is scored without its own counts: n-grams that nothing else has are unknown, in every order. A text with many
 exact copies is scored without these too. It is rejected if its mean negative log-probability lies outside a band of its
@@ -15,19 +16,24 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import Staged, arrow_map, columns, cut, folded, refolded, slices, unfolded
+from .common import Staged, arrow_map, block_count, block_of, by_block, columns, cut, folded, refolded, slices, unfolded
 from .tokens import chunked
 
-#: Bytes of an n-gram (codes are whole numbers of as many bytes), and entries that the arrays of an order may have, a prime.
-ORDER, SLOTS = 4, 4_194_301
+#: Bytes of an n-gram (codes are whole numbers of as many bytes), and entries that the broadcast arrays of an order may have.
+ORDER, HELD = 4, 4_194_301
+#: Bits of a code in a key of the rest of the model; the table it is of lies above them.
+CODE_BITS = 56
 #: Fences: quartile distances beyond the quartiles, and words at which a short text's band is twice as wide.
 REACH, SHORT = 2.0, 20.0
 #: Texts with more exact copies than a COPIED-th of all documents are scored without their copies; there are fewer than COPIED.
@@ -130,32 +136,48 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.clip(d, 0.0, [0, 1, 2, 3])
 
 
+@dataclass
+class Table:
+    """Two numbers for each of some codes, which ascend; without ``whole`` the rest of the model may have others."""
+
+    codes: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+    whole: bool = True
+
+    def at(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each code, whether it is there)."""
+        if not len(self.codes):
+            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+        codes = codes.astype(self.codes.dtype)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return at, self.codes[at] == codes
+
+    def find(self, codes: np.ndarray, more: Table | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Both numbers of each code, by the table or else by ``more``; zeros for a code that neither has."""
+        at, known = self.at(codes)
+        if not len(self.codes):
+            one, two = np.zeros(len(codes), self.one.dtype), np.zeros(len(codes), self.two.dtype)
+        else:
+            one, two = np.where(known, self.one[at], 0), np.where(known, self.two[at], 0)
+        if more is not None and not known.all():
+            one[~known], two[~known] = more.find(codes[~known])
+        return one, two
+
+
 @dataclass
 class Level:
-    """One order: sorted slots of n-grams with their value (a count at the highest order, else of distinct bytes before) and raw
-    count; sorted slots of contexts with the sum of values and of what discounts leave of them; discounts."""
-
-    grams: np.ndarray
-    value: np.ndarray
-    raw: np.ndarray
-    contexts: np.ndarray
-    total: np.ndarray
-    mass: np.ndarray
+    """One order: n-grams with their value (a count at the highest order, else of distinct bytes before) and raw count; contexts
+    with the sum of values and of what discounts leave of them; discounts."""
+
+    grams: Table
+    contexts: Table
     d: np.ndarray
 
     def left(self, values: np.ndarray) -> np.ndarray:
         return np.maximum(0.0, values - self.d[np.minimum(values, 3)])
 
 
-def _found(slots: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of each code's slot, whether it is there)."""
-    if not len(slots):
-        return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-    asked = codes % np.uint64(SLOTS)
-    at = np.minimum(np.searchsorted(slots, asked), len(slots) - 1)
-    return at, slots[at] == asked
-
-
 def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in ascending order, the sum of their weights, and the place of each key among them."""
     order = np.argsort(keys)
@@ -169,17 +191,45 @@ def _grouped(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 @dataclass
 class KneserNey:
-    """levels[k - 1] has the n-grams of k bytes."""
+    """levels[k - 1] has the n-grams of k bytes. ``rest`` (key, one, two) has what their tables could not hold, if there is any: a
+    key is a code and, above CODE_BITS, the number of its table: those of the n-grams of k bytes and their contexts are 2k - 2, 2k - 1.
+    """
 
     levels: list[Level]
-
-    def negative_logs(self, texts: list[bytes], own: np.ndarray | None = None) -> np.ndarray:
+    rest: DataFrame | None = None
+
+    def asked(self, texts: list[bytes]) -> np.ndarray:
+        """Ascending keys of all that the texts need and that only the rest can have."""
+        codes, out = np.unique(gram_codes(texts, len(self.levels))[0]), []
+        for k in range(len(self.levels), 0, -1):
+            level = self.levels[k - 1]
+            for number, table, some in ((2 * k - 2, level.grams, codes), (2 * k - 1, level.contexts, np.unique(codes >> np.uint64(8)))):
+                if not table.whole:
+                    out.append((number << CODE_BITS) + some[~table.at(some)[1]].astype(np.int64))
+            codes = np.unique(codes & np.uint64((1 << 8 * (k - 1)) - 1))
+        return np.sort(np.concatenate([np.zeros(0, np.int64), *out]))
+
+    def answers(self, found: pa.Table) -> list[Table]:
+        """Rows (key, one, two) of the rest as tables, by number."""
+        key, one, two = (found.column(c).to_numpy() for c in ("key", "one", "two"))
+        order = np.argsort(key)
+        key, one, two = key[order], one[order], two[order]
+        ends = np.searchsorted(key, np.arange(2 * len(self.levels) + 1, dtype=np.int64) << CODE_BITS)
+        kinds = (np.int64, np.float64)  # raw counts of n-grams are whole, masses of contexts are not
+        return [Table((key[i:j] - (n << CODE_BITS)).astype(np.uint64), one[i:j], two[i:j].astype(kinds[n % 2])) for n, (i, j) in enumerate(zip(ends[:-1], ends[1:]))]
+
+    def negative_logs(self, texts: list[bytes], own: np.ndarray | None = None, more: list[Table] | None = None) -> np.ndarray:
         """Mean negative log-probability of the bytes of each text, its end included.
 
+        ``more`` has what the rest answered to asked(texts); without it, the rest is asked here.
+
         With ``own``, text i is ``own[i]`` times in the counts, and is scored without these: its n-grams count less, those that
         nothing else has are no continuations of shorter ones, and contexts lose what their n-grams lose.
         """
         order = len(self.levels)
+        if self.rest is not None and more is None:
+            keys = self.rest.sparkSession.createDataFrame(pa.table({"key": self.asked(texts)}))
+            more = self.answers(self.rest.join(keys, "key").toArrow())
         wide = np.uint64(8 * order)
         codes, text = gram_codes(texts, order)
         keys, times, _ = _grouped((text.astype(np.uint64) << wide) | codes, np.ones(len(codes), np.int64))
@@ -190,16 +240,12 @@ class KneserNey:
         for k in range(order, 0, -1):
             level, code = self.levels[k - 1], keys & np.uint64((1 << 8 * order) - 1)
             out = times * copies[(keys >> wide).astype(np.int64)]
-            at, known = _found(level.grams, code)
-            value = np.where(known, level.value[at], 0) if len(level.grams) else np.zeros(len(keys), np.int64)
-            raw = np.where(known, level.raw[at], 0) if len(level.grams) else value
+            value, raw = level.grams.find(code, more and more[2 * k - 2])
             rest = np.maximum(0, value - (out if lost is None else lost))
             context = ((keys >> wide) << wide) | (code >> shift)
             first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
             group = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(context)]])))
-            at, known = _found(level.contexts, code[first] >> shift)
-            total = np.where(known, level.total[at], 0) if len(level.contexts) else np.zeros(len(first))
-            mass = np.where(known, level.mass[at], 0.0) if len(level.contexts) else total
+            total, mass = level.contexts.find(code[first] >> shift, more and more[2 * k - 1])
             kept = level.left(rest)
             total = total - np.add.reduceat(value - rest, first)
             mass = mass - np.add.reduceat(level.left(value) - kept, first)
@@ -216,33 +262,50 @@ class KneserNey:
 
 
 def fit(docs: DataFrame, order: int = ORDER) -> KneserNey:
-    """Count the n-grams of all documents and build the model; what the driver gets is at most SLOTS entries an array.
+    """Count the n-grams of all documents and build the model; what the driver gets is at most HELD entries an array.
 
     Null texts have no n-grams; a text of any length is counted whole, and repeated rows as often as they stand. A model of an empty
     table knows nothing, and gives every byte one probability.
     """
     counted = Staged(count_grams(docs, order), "grams")
     table = counted.df.select("k", F.col("n").alias("raw"), F.col("n").alias("value"))
+    kind = np.uint32 if order <= 4 else np.uint64
+    bits = F.length(F.bin("raw"))
     levels: list[Level] = []
+    rest: list[DataFrame] = []
+
+    def held(rows: DataFrame, sizes: dict[int, int], number: int) -> Table:
+        """The commonest rows (k, raw, one, two) of as many as ``sizes`` has by the bits of raw, as far as HELD goes; others go to the rest."""
+        least = next((b for b in range(64) if sum(n for x, n in sizes.items() if x >= b) <= HELD), 64)
+        whole = least <= min(sizes, default=64)
+        if not whole:
+            rest.append(rows.where(bits < least).select((F.col("k") + F.lit(number << CODE_BITS)).alias("key"), F.col("one").cast("long").alias("one"), F.col("two").cast("double").alias("two")))
+            rows = rows.where(bits >= least)
+        got = rows.select("k", "one", "two").toArrow()
+        k = got.column("k").to_numpy()
+        at = np.argsort(k)
+        return Table(k[at].astype(kind), got.column("one").to_numpy()[at], got.column("two").to_numpy()[at], whole)
+
+    def by_size(rows: DataFrame) -> dict[int, int]:
+        return {r["b"]: r["m"] for r in rows.groupBy(bits.alias("b")).agg(F.count("*").alias("m")).collect()}
+
     for k in range(order, 0, -1):
-        of_counts = {r["value"]: r["m"] for r in table.where("value <= 4").groupBy("value").agg(F.count("*").alias("m")).collect()}
+        sizes: dict[int, int] = {}
+        of_counts: dict[int, int] = {}
+        for r in table.groupBy(bits.alias("b"), F.least("value", F.lit(5)).alias("v")).agg(F.count("*").alias("m")).collect():
+            sizes[r["b"]] = sizes.get(r["b"], 0) + r["m"]
+            of_counts[r["v"]] = of_counts.get(r["v"], 0) + r["m"]
         d = discounts(*(of_counts.get(i, 0) for i in (1, 2, 3, 4)))
         left = F.greatest(F.lit(0.0), F.col("value") - F.element_at(F.array(*map(F.lit, d.tolist())), F.least("value", F.lit(3)).cast("int") + 1))
-        slot = lambda c: F.pmod(c, F.lit(SLOTS))
-        grams = table.groupBy(slot(F.col("k")).alias("k")).agg(F.sum("value").alias("value"), F.sum("raw").alias("raw")).toArrow()
-        contexts = table.groupBy(slot(F.shiftrightunsigned("k", 8)).alias("k")).agg(F.sum("value").alias("total"), F.sum(left).alias("mass")).toArrow()
-        g, c = (np.argsort(t.column("k").to_numpy()) for t in (grams, contexts))
-        levels.append(
-            Level(
-                grams.column("k").to_numpy()[g].astype(np.uint64), grams.column("value").to_numpy()[g], grams.column("raw").to_numpy()[g],
-                contexts.column("k").to_numpy()[c].astype(np.uint64), contexts.column("total").to_numpy()[c], contexts.column("mass").to_numpy()[c], d,
-            )
-        )
+        contexts = table.groupBy(F.shiftrightunsigned("k", 8).alias("k")).agg(F.sum("raw").alias("raw"), F.sum("value").alias("one"), F.sum(left).alias("two"))
+        grams = held(table.select("k", "raw", F.col("value").alias("one"), F.col("raw").alias("two")), sizes, 2 * k - 2)
+        levels.append(Level(grams, held(contexts, by_size(contexts) if sum(sizes.values()) > HELD else sizes, 2 * k - 1), d))  # no more contexts than n-grams
         if k > 1:
             short = F.col("k").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))
             table = table.groupBy(short.alias("k")).agg(F.sum("raw").alias("raw"), F.count("*").alias("value"))
+    others = Staged(reduce(DataFrame.unionByName, rest), "rest").df if rest else None
     counted.drop()
-    return KneserNey(levels[::-1])
+    return KneserNey(levels[::-1], others)
 
 
 def copied_texts(docs: DataFrame) -> dict[int, int]:
@@ -293,38 +356,75 @@ def score(docs: DataFrame, model: KneserNey, carry: bool = False, own: bool = Tr
     With ``carry``, a struct ``row`` has all columns of the document too. ``own``: the model has counted these documents,
     and each is scored without itself and what copies of it are many.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, copied_texts(docs) if own else {}))  # bounded by SLOTS and COPIED
+    shared = docs.sparkSession.sparkContext.broadcast((model.levels, copied_texts(docs) if own else {}))  # bounded by HELD and COPIED
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield unfolded(b.select(["row"])).append_column(_HASH, b.column(_HASH)) if carry else b
+
+    def rows_of(whole: pa.RecordBatch, kn: KneserNey, copied: dict[int, int], more: list[Table] | None = None) -> Iterator[pa.RecordBatch]:
+        for b in cut(whole, "text", 1 << 20):  # arrays of a slice are many times its text
+            texts = b.column("text")
+            offsets, index, distinct = _words(texts)
+            words = pa.array(distinct, pa.string())
+            hashes = word_hashes(distinct)
+
+            def total(x: pa.Array) -> np.ndarray:
+                return np.diff(np.concatenate([[0], np.cumsum(x.to_numpy()[index], dtype=np.int64)])[offsets])
+
+            data = _bytes(texts)
+            times = np.array([copied.get(h, 1) for h in b.column(_HASH).to_pylist()], np.int64) if own else None
+            n = np.diff(offsets)
+            mixed = ((hashes ^ (hashes >> np.uint64(31))) * _MIX)[index]
+            repeats = [repeated_words(mixed[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            perplexity = pa.array(kn.negative_logs(data, times, more), mask=n == 0)
+            extra = [refolded(b.select([c for c in b.schema.names if c != _HASH]))] if carry else []
+            yield pa.RecordBatch.from_arrays(
+                [pc.cast(b.column("doc_id"), pa.int64()), b.column("lang"), pa.array(n), pa.array(total(pc.utf8_length(words))), pa.array(total(pc.count_substring_regex(words, SYMBOLS))), pa.array([duplicate_lines(t or "") for t in texts.to_pylist()], pa.int64()), pa.array(repeats, pa.int64()), perplexity, *extra],
+                names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity", *["row"] * carry],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kn, copied = shared.value
-        for whole in batches:
-            if carry:
-                whole = unfolded(whole.select(["row"])).append_column(_HASH, whole.column(_HASH))
-            for b in cut(whole, "text", 1 << 20):  # arrays of a slice are many times its text
-                texts = b.column("text")
-                offsets, index, distinct = _words(texts)
-                words = pa.array(distinct, pa.string())
-                hashes = word_hashes(distinct)
-
-                def total(x: pa.Array) -> np.ndarray:
-                    return np.diff(np.concatenate([[0], np.cumsum(x.to_numpy()[index], dtype=np.int64)])[offsets])
-
-                data = _bytes(texts)
-                times = np.array([copied.get(h, 1) for h in b.column(_HASH).to_pylist()], np.int64) if own else None
-                n = np.diff(offsets)
-                mixed = ((hashes ^ (hashes >> np.uint64(31))) * _MIX)[index]
-                repeats = [repeated_words(mixed[s:e]) for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                perplexity = pa.array(kn.negative_logs(data, times), mask=n == 0)
-                extra = [refolded(b.select([c for c in b.schema.names if c != _HASH]))] if carry else []
-                yield pa.RecordBatch.from_arrays(
-                    [pc.cast(b.column("doc_id"), pa.int64()), b.column("lang"), pa.array(n), pa.array(total(pc.utf8_length(words))), pa.array(total(pc.count_substring_regex(words, SYMBOLS))), pa.array([duplicate_lines(t or "") for t in texts.to_pylist()], pa.int64()), pa.array(repeats, pa.int64()), perplexity, *extra],
-                    names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_perplexity", *["row"] * carry],
-                )
+        levels, copied = shared.value
+        for b in opened(batches):
+            yield from rows_of(b, KneserNey(levels), copied)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kn, task = KneserNey(shared.value[0]), TaskContext.get().partitionId() << 32
+        for i, b in enumerate(slices(opened(batches), "text")):
+            keys = np.unique(np.concatenate([kn.asked(_bytes(c.column("text"))) for c in cut(b, "text", 1 << 20)]))
+            with pa.BufferOutputStream() as out:
+                with pa.ipc.new_stream(out, b.schema) as file:
+                    file.write_batch(b)
+                data = zstandard.compress(out.getvalue(), 3)
+            yield pa.RecordBatch.from_arrays([pa.array([task + i]), pa.array([keys]), pa.array([data], pa.binary())], names=["pack", "asks", "data"])
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, copied = shared.value
+        kn = KneserNey(levels)
+        found: list[pa.RecordBatch] = []
+        for b in batches:
+            at = 0
+            for i in np.flatnonzero(pc.is_valid(b.column("data")).to_numpy(zero_copy_only=False)).tolist():  # answers come before their pack
+                more = kn.answers(pa.Table.from_batches([*found, b.slice(at, i - at)]))
+                with pa.ipc.open_stream(zstandard.decompress(b.column("data")[i].as_py())) as file:
+                    for whole in file:
+                        yield from rows_of(whole, kn, copied, more)
+                found, at = [], i + 1
+            found.append(b.slice(at))
 
     if carry:
-        rows = folded(docs).select("row", F.xxhash64(F.col("row")["text"].cast("string")).alias(_HASH))
-        return arrow_map(rows, run, StructType([*_scored(), StructField("row", docs.schema)]))
-    return arrow_map(columns(docs, "doc_id", "text", "lang").select("*", F.xxhash64("text").alias(_HASH)), run, SCORED)
+        rows, out = folded(docs).select("row", F.xxhash64(F.col("row")["text"].cast("string")).alias(_HASH)), StructType([*_scored(), StructField("row", docs.schema)])
+    else:
+        rows, out = columns(docs, "doc_id", "text", "lang").select("*", F.xxhash64("text").alias(_HASH)), SCORED
+    if model.rest is None:
+        return arrow_map(rows, run, out)
+    n = block_count(docs)
+    packs = Staged(arrow_map(rows, ask, "pack long, asks array<long>, data binary"), "packs").df.withColumn("block", block_of(n, "pack"))
+    answers = packs.select("block", "pack", F.explode("asks").alias("key")).join(model.rest, "key")
+    none = {"key": F.lit(None).cast("long"), "one": F.lit(None).cast("long"), "two": F.lit(None).cast("double")}
+    parts = [answers.withColumn("data", F.lit(None).cast("binary")), packs.drop("asks").withColumns(none)]
+    return arrow_map(by_block(parts, n, ["pack", F.col("data").isNotNull()]), answered, out)
 
 
 def _scored() -> list[StructField]:
